@@ -32,40 +32,56 @@ def with_unit(value: Column, unit: Column) -> Column:
     return F.when(unit.isNotNull(), F.concat(value, F.lit(" "), unit)).otherwise(value)
 
 
-def _present(arr: Column) -> Column:
-    return F.coalesce(arr, F.array().cast("array<string>"))
+def unnest(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
+    """One row per non-null array element, as column ``name`` beside ``keep``.
+
+    The plain ``explode`` makes the optimizer infer a filter on the array and push
+    it below, where the whole expression that builds the array is evaluated a
+    second time. Here the array is built once and nulls are dropped after it.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
+def parse_once(df: DataFrame, schema: str, name: str, *keep: str, json: str = "json") -> DataFrame:
+    """Parse a JSON column into ``name``, dropping rows where it is null.
+
+    Filters on parsed fields stay above the parsing instead of repeating it.
+    """
+    return unnest(df, F.array(F.from_json(json, schema)), name, *keep)
 
 
 def nested_items(
-    df: DataFrame, items: str, child_schema: str, through_answers: bool, max_depth: int = 10
+    df: DataFrame,
+    items: str,
+    schema: str,
+    fields: str,
+    through_answers: bool,
+    max_depth: int = 10,
 ) -> DataFrame:
-    """Replace the array column ``items`` by the items of every nesting level.
+    """Replace the array of JSON texts ``items`` by the items of every nesting level.
 
-    Each level is an array of raw JSON texts made from the level above by parsing
-    only the child fields. Levels are separate projections, so a level is parsed
-    once; the whole thing is narrow and needs no shuffle. Nesting beyond
-    ``max_depth`` raises instead of being cut off.
+    ``schema`` describes one item with its children as raw JSON texts, ``fields``
+    is the SQL expression of what to keep of an item ``i``. Each item is parsed
+    once, giving both its fields and the texts of the level below. Levels are
+    separate projections, so none is computed twice; the whole thing is narrow and
+    needs no shuffle. Nesting beyond ``max_depth`` raises instead of being cut off.
     """
+    nothing = "cast(array() as array<string>)"
+    children = f"coalesce(i.item, {nothing})"
+    if through_answers:
+        under_answers = "flatten(filter(i.answer.item, a -> a is not null))"
+        children = f"concat({children}, coalesce({under_answers}, {nothing}))"
 
-    def children(parsed: Column) -> Column:
-        below = _present(parsed["item"])
-        if not through_answers:
-            return below
-        under_answers = F.filter(parsed["answer"]["item"], lambda a: a.isNotNull())
-        return F.concat(below, _present(F.flatten(under_answers)))
+    def parse_all(texts: str) -> Column:
+        return F.expr(f"transform({texts}, j -> from_json(j, '{schema}'))")
 
     levels = ["__level_0"]
-    out = df.withColumn(levels[0], _present(F.col(items)))
+    out = df.withColumn(levels[0], parse_all(f"coalesce({items}, {nothing})"))
     for depth in range(1, max_depth + 1):
-        parsed = F.transform(F.col(levels[-1]), lambda j: F.from_json(j, child_schema))
-        name = f"__level_{depth}"
-        out = out.withColumn(name, F.flatten(F.transform(parsed, children)))
-        levels.append(name)
-    too_deep = F.raise_error(F.lit(f"items nest deeper than {max_depth} levels"))
-    every_level = F.concat(*[F.col(name) for name in levels[:-1]])
-    return out.withColumn(
-        items,
-        F.when(F.size(F.col(levels[-1])) > 0, too_deep.cast("array<string>")).otherwise(
-            every_level
-        ),
-    ).drop(*levels)
+        texts = f"flatten(transform({levels[-1]}, i -> {children}))"
+        levels.append(f"__level_{depth}")
+        out = out.withColumn(levels[-1], parse_all(texts))
+    every_level = ", ".join(f"transform({name}, i -> {fields})" for name in levels[:-1])
+    too_deep = f"raise_error('items nest deeper than {max_depth} levels')"
+    guarded = f"if(size({levels[-1]}) = 0, concat({every_level}), {too_deep})"
+    return out.withColumn(items, F.expr(guarded)).drop(*levels)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Whitespace as the dictionary tools see it (Unicode spaces, byte
 # order mark) and as the workbook reader sees it (everything up to U+0020).
 UNICODE_SPACE = (
-    "\t\n\x0b\f\r           "
-    "       　﻿"
+    "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 CONTROL_SPACE = "".join(chr(i) for i in range(0x21))
 

@@ -33,19 +33,17 @@ QUESTIONNAIRE_RESPONSE = (
     "subject:struct<reference:string>,item:array<string>>"
 )
 RESPONSE_ITEM = (
-    "struct<linkId:string,text:string,answer:array<struct<"
+    "struct<linkId:string,text:string,item:array<string>,answer:array<struct<"
     f"valueCoding:{CODING},valueString:string,valueInteger:string,valueDecimal:string,"
     "valueBoolean:string,valueDate:string,valueDateTime:string,valueTime:string,"
-    f"valueUri:string,valueQuantity:{QUANTITY}>>>"
+    f"valueUri:string,valueQuantity:{QUANTITY},item:array<string>>>>"
 )
-RESPONSE_ITEM_CHILDREN = "struct<item:array<string>,answer:array<struct<item:array<string>>>>"
 
 QUESTIONNAIRE = "struct<id:string,item:array<string>>"
 QUESTIONNAIRE_ITEM = (
-    "struct<linkId:string,text:string,answerValueSet:string,"
+    "struct<linkId:string,text:string,answerValueSet:string,item:array<string>,"
     f"answerOption:array<struct<valueCoding:{CODING}>>>"
 )
-QUESTIONNAIRE_ITEM_CHILDREN = "struct<item:array<string>>"
 
 BUNDLE = "struct<resourceType:string,entry:array<struct<resource:string>>>"
 
