@@ -51,37 +51,41 @@ def parse_once(df: DataFrame, schema: str, name: str, *keep: str, json: str = "j
 
 
 def nested_items(
-    df: DataFrame,
     items: str,
     schema: str,
-    fields: str,
+    fields: dict[str, str],
     through_answers: bool,
     max_depth: int = 10,
-) -> DataFrame:
-    """Replace the array of JSON texts ``items`` by the items of every nesting level.
-
-    ``schema`` describes one item with its children as raw JSON texts, ``fields``
-    is the SQL expression of what to keep of an item ``i``. Each item is parsed
-    once, giving both its fields and the texts of the level below. Levels are
-    separate projections, so none is computed twice; the whole thing is narrow and
-    needs no shuffle. Nesting beyond ``max_depth`` raises instead of being cut off.
+    types: dict[str, str] | None = None,
+) -> Column:
+    """Items of every nesting level as one array of structs.
+
+    ``items`` names an array of JSON texts, ``schema`` describes one item with its
+    children as raw JSON texts, ``fields`` says what to keep of an item ``i`` (name
+    to SQL expression, text unless ``types`` says otherwise). A running pair of
+    (rows so far, texts of the next level) is folded over the levels inside one
+    expression: each item is parsed once, giving both its fields and its children,
+    and no level is copied between operators. It is narrow, so there is no shuffle.
+    Nesting beyond ``max_depth`` raises instead of being cut off.
     """
-    nothing = "cast(array() as array<string>)"
-    children = f"coalesce(i.item, {nothing})"
+    types = types or {}
+    row_type = ",".join(f"{name}:{types.get(name, 'string')}" for name in fields)
+    row = ", ".join(f"'{name}', {expr}" for name, expr in fields.items())
+    no_texts = "cast(array() as array<string>)"
+    children = f"coalesce(i.item, {no_texts})"
     if through_answers:
         under_answers = "flatten(filter(i.answer.item, a -> a is not null))"
-        children = f"concat({children}, coalesce({under_answers}, {nothing}))"
-
-    def parse_all(texts: str) -> Column:
-        return F.expr(f"transform({texts}, j -> from_json(j, '{schema}'))")
-
-    levels = ["__level_0"]
-    out = df.withColumn(levels[0], parse_all(f"coalesce({items}, {nothing})"))
-    for depth in range(1, max_depth + 1):
-        texts = f"flatten(transform({levels[-1]}, i -> {children}))"
-        levels.append(f"__level_{depth}")
-        out = out.withColumn(levels[-1], parse_all(texts))
-    every_level = ", ".join(f"transform({name}, i -> {fields})" for name in levels[:-1])
-    too_deep = f"raise_error('items nest deeper than {max_depth} levels')"
-    guarded = f"if(size({levels[-1]}) = 0, concat({every_level}), {too_deep})"
-    return out.withColumn(items, F.expr(guarded)).drop(*levels)
+        children = f"concat({children}, coalesce({under_answers}, {no_texts}))"
+    return F.expr(
+        f"""aggregate(
+            sequence(1, {max_depth}),
+            named_struct('rows', cast(array() as array<struct<{row_type}>>),
+                         'texts', coalesce({items}, {no_texts})),
+            (acc, depth) -> if(size(acc.texts) = 0, acc, transform(
+                array(transform(acc.texts, j -> from_json(j, '{schema}'))),
+                level -> named_struct(
+                    'rows', concat(acc.rows, transform(level, i -> named_struct({row}))),
+                    'texts', flatten(transform(level, i -> {children}))))[0]),
+            acc -> if(size(acc.texts) = 0, acc.rows,
+                      raise_error('items nest deeper than {max_depth} levels')))"""
+    )

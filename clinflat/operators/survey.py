@@ -21,28 +21,31 @@ from clinflat.sources.resources import of_type
 SURVEY_COLUMNS = ("pid", "code", "display", "answer", "date")
 
 
-_RESPONSE_FIELDS = """named_struct(
-    'question_id', i.linkId,
-    'text_resp', i.text,
-    'val_code', get(i.answer, 0).valueCoding.code,
-    'val_disp_resp', get(i.answer, 0).valueCoding.display,
-    'val_string', get(i.answer, 0).valueString,
-    'val_integer', get(i.answer, 0).valueInteger,
-    'val_decimal', get(i.answer, 0).valueDecimal,
-    'val_boolean', get(i.answer, 0).valueBoolean,
-    'val_date', get(i.answer, 0).valueDate,
-    'val_datetime', get(i.answer, 0).valueDateTime,
-    'val_time', get(i.answer, 0).valueTime,
-    'val_uri', get(i.answer, 0).valueUri,
-    'val_qty', get(i.answer, 0).valueQuantity.value,
-    'val_qty_unit', get(i.answer, 0).valueQuantity.unit)"""
-
-_DEFINITION_FIELDS = """named_struct(
-    'question_id', i.linkId,
-    'text_def', i.text,
-    'value_set_url', i.answerValueSet,
-    'opt_codes', i.answerOption.valueCoding.code,
-    'opt_disps', i.answerOption.valueCoding.display)"""
+_RESPONSE_FIELDS = {
+    "question_id": "i.linkId",
+    "text_resp": "i.text",
+    "val_code": "get(i.answer, 0).valueCoding.code",
+    "val_disp_resp": "get(i.answer, 0).valueCoding.display",
+    "val_string": "get(i.answer, 0).valueString",
+    "val_integer": "get(i.answer, 0).valueInteger",
+    "val_decimal": "get(i.answer, 0).valueDecimal",
+    "val_boolean": "get(i.answer, 0).valueBoolean",
+    "val_date": "get(i.answer, 0).valueDate",
+    "val_datetime": "get(i.answer, 0).valueDateTime",
+    "val_time": "get(i.answer, 0).valueTime",
+    "val_uri": "get(i.answer, 0).valueUri",
+    "val_qty": "get(i.answer, 0).valueQuantity.value",
+    "val_qty_unit": "get(i.answer, 0).valueQuantity.unit",
+}
+
+_DEFINITION_FIELDS = {
+    "question_id": "i.linkId",
+    "text_def": "i.text",
+    "value_set_url": "i.answerValueSet",
+    "opt_codes": "i.answerOption.valueCoding.code",
+    "opt_disps": "i.answerOption.valueCoding.display",
+}
+_DEFINITION_TYPES = {"opt_codes": "array<string>", "opt_disps": "array<string>"}
 
 
 def response_items(responses: DataFrame, max_depth: int = 10) -> DataFrame:
@@ -59,12 +62,9 @@ def response_items(responses: DataFrame, max_depth: int = 10) -> DataFrame:
         F.col("r.questionnaire").alias("questionnaire_ref"),
         F.col("r.item").alias("items"),
     )
-    leveled = nested_items(
-        parsed, "items", schemas.RESPONSE_ITEM, _RESPONSE_FIELDS, through_answers=True,
-        max_depth=max_depth,
-    )
+    items = nested_items("items", schemas.RESPONSE_ITEM, _RESPONSE_FIELDS, True, max_depth)
     head = ("resource_id", "patient_uuid", "date", "questionnaire_ref")
-    return unnest(leveled, F.col("items"), "i", *head).select(*head, "i.*")
+    return unnest(parsed, items, "i", *head).select(*head, "i.*")
 
 
 def questionnaire_refs(responses: DataFrame) -> DataFrame:
@@ -91,13 +91,11 @@ def definition_items(questionnaires: DataFrame, max_depth: int = 10) -> DataFram
     parsed = parse_once(resources, schemas.QUESTIONNAIRE, "r", "id").select(
         F.col("id").alias("questionnaire_id"), F.col("r.item").alias("items")
     )
-    leveled = nested_items(
-        parsed, "items", schemas.QUESTIONNAIRE_ITEM, _DEFINITION_FIELDS, through_answers=False,
-        max_depth=max_depth,
-    )
-    return unnest(leveled, F.col("items"), "i", "questionnaire_id").select(
-        "questionnaire_id", "i.*"
+    items = nested_items(
+        "items", schemas.QUESTIONNAIRE_ITEM, _DEFINITION_FIELDS, False, max_depth,
+        _DEFINITION_TYPES,
     )
+    return unnest(parsed, items, "i", "questionnaire_id").select("questionnaire_id", "i.*")
 
 
 def option_rows(items: DataFrame) -> DataFrame:
