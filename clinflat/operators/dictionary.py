@@ -54,7 +54,7 @@ def redcap_type(field_type: Column, validation: Column) -> Column:
 
 
 def choices(text: Column) -> Column:
-    """``code, display | code, display`` as an array of structs, empty below two."""
+    """``code, display | code, display`` as an array of structs, null below two."""
 
     def choice(part: Column) -> Column:
         comma = F.locate(",", part)
@@ -69,7 +69,7 @@ def choices(text: Column) -> Column:
 
 
 def notice_codes(text: Column) -> Column:
-    """``code = display`` lines as an array of structs, empty below two."""
+    """``code = display`` lines as an array of structs, null below two."""
     text = _or_empty(text)
     codes = F.regexp_extract_all(text, F.lit(CODE_NOTICE), 1)
     displays = F.regexp_extract_all(text, F.lit(CODE_NOTICE), 2)
@@ -84,7 +84,8 @@ def notice_codes(text: Column) -> Column:
 
 
 def _at_least_two(found: Column) -> Column:
-    return F.filter(found, lambda c: F.size(found) >= 2)
+    """The list, or null below two entries; the list is worked out once."""
+    return F.get(F.transform(F.array(found), lambda f: F.when(F.size(f) >= 2, f)), F.lit(0))
 
 
 def kora_included() -> Column:
@@ -193,7 +194,7 @@ def kora_value_sets(rows: DataFrame) -> DataFrame:
 
 def _counts(rows: DataFrame, counted: Column, included: Column, codes: Column) -> DataFrame:
     """Counters of a dictionary run; ``counted`` rows are included or skipped."""
-    n = F.when(included, F.size(codes)).otherwise(F.lit(0))
+    n = F.coalesce(F.when(included, F.size(codes)), F.lit(0))
     return rows.where(counted).agg(
         F.count_if(included).alias("included"),
         F.count_if(~included).alias("skipped"),
