@@ -1,0 +1,5 @@
+"""Registered queries with their SQL equivalents, grouped by subject."""
+
+from checks import observations, surveys
+
+GROUPS = (observations, surveys)

@@ -218,7 +218,7 @@ def run_jobs(
     extractions = [extract(j, inputs, reference_year) for j in jobs if j in _EXTRACT]
     if not extractions:
         return
-    described = with_statistics(records, extractions, run, mode)
+    described = stage(with_statistics(records, extractions, run, mode), "records")
     for e in extractions:
         folder = f"{output}/{FOLDERS[e.job]}"
         record = described.where(F.col("job") == e.job)

@@ -36,7 +36,7 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
         .csv(path).first()
     )
     names = [] if first is None else [c or "" for c in first]
-    return [n.lstrip("﻿").strip() for n in names]
+    return [n.lstrip("\ufeff").strip() for n in names]
 
 
 def read_dictionary_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
