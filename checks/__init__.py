@@ -1,5 +1,5 @@
 """Registered queries with their SQL equivalents, grouped by subject."""
 
-from checks import observations, surveys
+from checks import observations, scalars, surveys, windows
 
-GROUPS = (observations, surveys)
+GROUPS = (observations, surveys, windows, scalars)

@@ -158,7 +158,7 @@ def int_from_text(c: Column) -> Column:
     """Number text truncated to int; out-of-range values stop at the int limits."""
     d = trim_cell(c).try_cast("double")
     bounded = F.least(F.greatest(d, F.lit(-2147483648.0)), F.lit(2147483647.0))
-    return F.when(F.isnan(d), F.lit(0)).otherwise(bounded.cast("int"))
+    return F.when(F.isnan(d), F.lit(0)).when(d.isNotNull(), bounded.cast("int"))
 
 
 def form_fields(body: Column) -> Column:
