@@ -1,5 +1,5 @@
 """Registered queries with their SQL equivalents, grouped by subject."""
 
-from checks import observations, scalars, surveys, windows
+from checks import dictionaries, folders, observations, scalars, surveys, windows
 
-GROUPS = (observations, surveys, windows, scalars)
+GROUPS = (observations, surveys, windows, scalars, dictionaries, folders)
