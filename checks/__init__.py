@@ -1,5 +1,16 @@
 """Registered queries with their SQL equivalents, grouped by subject."""
 
-from checks import dictionaries, folders, observations, scalars, surveys, windows
+from checks import (
+    dictionaries,
+    folders,
+    graphs,
+    metadata,
+    observations,
+    scalars,
+    surveys,
+    windows,
+)
 
-GROUPS = (observations, surveys, windows, scalars, dictionaries, folders)
+GROUPS = (
+    observations, surveys, windows, scalars, dictionaries, folders, metadata, graphs,
+)
