@@ -32,7 +32,7 @@ def with_unit(value: Column, unit: Column) -> Column:
     return F.when(unit.isNotNull(), F.concat(value, F.lit(" "), unit)).otherwise(value)
 
 
-def unnest(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
+def unnest(df: DataFrame, array: Column, name: str, *keep: str | Column) -> DataFrame:
     """One row per non-null array element, as column ``name`` beside ``keep``.
 
     The plain ``explode`` makes the optimizer infer a filter on the array and push
@@ -52,40 +52,55 @@ def parse_once(df: DataFrame, schema: str, name: str, *keep: str, json: str = "j
 
 def nested_items(
     items: str,
-    schema: str,
     fields: dict[str, str],
     through_answers: bool,
-    max_depth: int = 10,
+    typed_levels: int,
+    text_schema: str,
+    max_depth: int,
     types: dict[str, str] | None = None,
-) -> Column:
-    """Items of every nesting level as one array of structs.
-
-    ``items`` names an array of JSON texts, ``schema`` describes one item with its
-    children as raw JSON texts, ``fields`` says what to keep of an item ``i`` (name
-    to SQL expression, text unless ``types`` says otherwise). A running pair of
-    (rows so far, texts of the next level) is folded over the levels inside one
-    expression: each item is parsed once, giving both its fields and its children,
-    and no level is copied between operators. It is narrow, so there is no shuffle.
-    Nesting beyond ``max_depth`` raises instead of being cut off.
+) -> str:
+    """SQL expression for the items of every nesting level, as one array of structs.
+
+    ``items`` names an array of item structs with ``typed_levels`` typed levels
+    below it, all from one parse of the resource. ``fields`` says what to keep of
+    an item ``i`` (name to SQL expression, text unless ``types`` says otherwise).
+    Items below the typed levels are JSON texts; those are parsed level by level
+    with ``text_schema``, and only where a resource nests that deep. Each level is
+    bound to a variable, so none is computed twice; the whole is one narrow
+    expression without a shuffle. Nesting beyond ``max_depth`` levels raises
+    instead of being cut off.
     """
     types = types or {}
     row_type = ",".join(f"{name}:{types.get(name, 'string')}" for name in fields)
-    row = ", ".join(f"'{name}', {expr}" for name, expr in fields.items())
-    no_texts = "cast(array() as array<string>)"
-    children = f"coalesce(i.item, {no_texts})"
+    row = "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in fields.items()) + ")"
+    children = "coalesce(i.item, array())"
     if through_answers:
-        under_answers = "flatten(filter(i.answer.item, a -> a is not null))"
-        children = f"concat({children}, coalesce({under_answers}, {no_texts}))"
-    return F.expr(
-        f"""aggregate(
-            sequence(1, {max_depth}),
-            named_struct('rows', cast(array() as array<struct<{row_type}>>),
-                         'texts', coalesce({items}, {no_texts})),
-            (acc, depth) -> if(size(acc.texts) = 0, acc, transform(
-                array(transform(acc.texts, j -> from_json(j, '{schema}'))),
-                level -> named_struct(
-                    'rows', concat(acc.rows, transform(level, i -> named_struct({row}))),
-                    'texts', flatten(transform(level, i -> {children}))))[0]),
-            acc -> if(size(acc.texts) = 0, acc.rows,
-                      raise_error('items nest deeper than {max_depth} levels')))"""
-    )
+        # The two usual shapes first; only an item with several places for children
+        # needs them put together.
+        children = """coalesce(
+            if(i.answer is null, i.item,
+               if(i.item is null and size(i.answer) = 1, i.answer[0].item,
+                  flatten(filter(concat(array(i.item), i.answer.item), c -> c is not null)))),
+            array())"""
+    text_levels = max(1, max_depth - typed_levels - 1)
+    deeper = f"""aggregate(
+        sequence(1, {text_levels}),
+        named_struct('rows', cast(array() as array<struct<{row_type}>>), 'texts', texts),
+        (acc, depth) -> if(size(acc.texts) = 0, acc, transform(
+            array(transform(acc.texts, j -> from_json(j, '{text_schema}'))),
+            level -> named_struct(
+                'rows', concat(acc.rows, transform(level, i -> {row})),
+                'texts', flatten(transform(level, i -> {children}))))[0]),
+        acc -> if(size(acc.texts) = 0, acc.rows,
+                  raise_error('items nest deeper than {max_depth} levels')))"""
+
+    def level(depth: int, this: str) -> str:
+        last = depth == typed_levels
+        under = "texts" if last else f"level{depth + 1}"
+        rows = f"transform({this}, i -> {row})"
+        rest = deeper if last else level(depth + 1, under)
+        return f"""transform(
+            array(flatten(transform({this}, i -> {children}))),
+            {under} -> if(size({under}) = 0, {rows}, concat({rows}, {rest})))[0]"""
+
+    return f"transform(array({items}), level0 -> {level(0, 'level0')})[0]"

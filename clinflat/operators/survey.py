@@ -48,28 +48,42 @@ _DEFINITION_FIELDS = {
 _DEFINITION_TYPES = {"opt_codes": "array<string>", "opt_disps": "array<string>"}
 
 
+# Levels below the top one that are parsed together with the resource. The schema
+# doubles with each, so deeper nesting is left to the slower text form.
+TYPED_LEVELS = 3
+
+
 def response_items(responses: DataFrame, max_depth: int = 10) -> DataFrame:
     """One row per item at any depth, with the first answer's fields.
 
     Items are followed through ``item`` and through ``answer.item``; the fields of
     the response are repeated on each row.
     """
-    resources = of_type(responses, schemas.RESPONSE_TYPE)
-    parsed = parse_once(resources, schemas.QUESTIONNAIRE_RESPONSE, "r", "id").select(
-        F.col("id").alias("resource_id"),
-        reference_key(F.col("r.subject.reference")).alias("patient_uuid"),
-        F.col("r.authored").alias("date"),
-        F.col("r.questionnaire").alias("questionnaire_ref"),
-        F.col("r.item").alias("items"),
+    items = nested_items(
+        "r.item", _RESPONSE_FIELDS, True, TYPED_LEVELS, schemas.response_item(0), max_depth
+    )
+    schema = schemas.questionnaire_response(TYPED_LEVELS)
+    # Parsing and flattening are one expression: the parsed tree is never written
+    # out as a row, only the flat items are.
+    flat = F.expr(
+        f"""transform(array(from_json(json, '{schema}')), r -> named_struct(
+            'reference', r.subject.reference, 'date', r.authored,
+            'questionnaire_ref', r.questionnaire, 'items', {items}))"""
     )
-    items = nested_items("items", schemas.RESPONSE_ITEM, _RESPONSE_FIELDS, True, max_depth)
     head = ("resource_id", "patient_uuid", "date", "questionnaire_ref")
-    return unnest(parsed, items, "i", *head).select(*head, "i.*")
+    rows = unnest(of_type(responses, schemas.RESPONSE_TYPE), flat, "r", "id").select(
+        F.col("id").alias("resource_id"),
+        reference_key(F.col("r.reference")).alias("patient_uuid"),
+        F.col("r.date").alias("date"),
+        F.col("r.questionnaire_ref").alias("questionnaire_ref"),
+        F.col("r.items").alias("items"),
+    )
+    return unnest(rows, F.col("items"), "i", *head).select(*head, "i.*")
 
 
 def questionnaire_refs(responses: DataFrame) -> DataFrame:
     """Distinct questionnaire keys of the responses that have items."""
-    head = "struct<questionnaire:string,item:array<string>>"
+    head = "struct<questionnaire:string,item:array<struct<linkId:string>>>"
     return (
         parse_once(of_type(responses, schemas.RESPONSE_TYPE), head, "h")
         .where(F.size("h.item") > 0)
@@ -87,15 +101,15 @@ def used_questionnaires(questionnaires: DataFrame, refs: DataFrame) -> DataFrame
 
 def definition_items(questionnaires: DataFrame, max_depth: int = 10) -> DataFrame:
     """One row per defined item at any depth with its answer options."""
-    resources = of_type(questionnaires, schemas.QUESTIONNAIRE_TYPE)
-    parsed = parse_once(resources, schemas.QUESTIONNAIRE, "r", "id").select(
-        F.col("id").alias("questionnaire_id"), F.col("r.item").alias("items")
-    )
     items = nested_items(
-        "items", schemas.QUESTIONNAIRE_ITEM, _DEFINITION_FIELDS, False, max_depth,
-        _DEFINITION_TYPES,
+        "r.item", _DEFINITION_FIELDS, False, TYPED_LEVELS, schemas.questionnaire_item(0),
+        max_depth, _DEFINITION_TYPES,
     )
-    return unnest(parsed, items, "i", "questionnaire_id").select("questionnaire_id", "i.*")
+    schema = schemas.questionnaire(TYPED_LEVELS)
+    flat = F.expr(f"transform(array(from_json(json, '{schema}')), r -> {items})")
+    resources = of_type(questionnaires, schemas.QUESTIONNAIRE_TYPE)
+    rows = unnest(resources, flat, "items", F.col("id").alias("questionnaire_id"))
+    return unnest(rows, F.col("items"), "i", "questionnaire_id").select("questionnaire_id", "i.*")
 
 
 def option_rows(items: DataFrame) -> DataFrame:

@@ -26,24 +26,45 @@ OBSERVATION = (
     f"valueCodeableConcept:{CODEABLE},component:array<{COMPONENT}>>"
 )
 
-# Items nest without limit and Spark has no recursive type, so a nested item is
-# kept as raw JSON text and parsed one level at a time.
-QUESTIONNAIRE_RESPONSE = (
-    "struct<id:string,authored:string,questionnaire:string,"
-    "subject:struct<reference:string>,item:array<string>>"
-)
-RESPONSE_ITEM = (
-    "struct<linkId:string,text:string,item:array<string>,answer:array<struct<"
+_RESPONSE_ANSWER = (
     f"valueCoding:{CODING},valueString:string,valueInteger:string,valueDecimal:string,"
     "valueBoolean:string,valueDate:string,valueDateTime:string,valueTime:string,"
-    f"valueUri:string,valueQuantity:{QUANTITY},item:array<string>>>>"
+    f"valueUri:string,valueQuantity:{QUANTITY}"
 )
 
-QUESTIONNAIRE = "struct<id:string,item:array<string>>"
-QUESTIONNAIRE_ITEM = (
-    "struct<linkId:string,text:string,answerValueSet:string,item:array<string>,"
-    f"answerOption:array<struct<valueCoding:{CODING}>>>"
-)
+
+def response_item(levels: int) -> str:
+    """An answered item with ``levels`` typed levels of items below it.
+
+    Items nest without limit and Spark has no recursive type: below the typed
+    levels the children are kept as raw JSON texts.
+    """
+    child = "string" if levels == 0 else response_item(levels - 1)
+    return (
+        f"struct<linkId:string,text:string,item:array<{child}>,"
+        f"answer:array<struct<{_RESPONSE_ANSWER},item:array<{child}>>>>"
+    )
+
+
+def questionnaire_item(levels: int) -> str:
+    """A defined item with ``levels`` typed levels of items below it."""
+    child = "string" if levels == 0 else questionnaire_item(levels - 1)
+    return (
+        f"struct<linkId:string,text:string,answerValueSet:string,item:array<{child}>,"
+        f"answerOption:array<struct<valueCoding:{CODING}>>>"
+    )
+
+
+def questionnaire_response(levels: int) -> str:
+    return (
+        "struct<id:string,authored:string,questionnaire:string,"
+        f"subject:struct<reference:string>,item:array<{response_item(levels)}>>"
+    )
+
+
+def questionnaire(levels: int) -> str:
+    return f"struct<id:string,item:array<{questionnaire_item(levels)}>>"
+
 
 BUNDLE = "struct<resourceType:string,entry:array<struct<resource:string>>>"
 
