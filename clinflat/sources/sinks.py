@@ -24,8 +24,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 def write_entries(entries: DataFrame, path: str, timestamp: Column | None = None) -> None:
     """Transaction entries, one per line and in bundle order, in ``path/entries``;
-    the bundle's own fields in ``path/envelope``."""
-    ordered = entries.orderBy("rank", "resource_type", "id")
+    the bundle's own fields in ``path/envelope``.
+
+    Resources without an id share their sort key, so a hash of the entry follows
+    it: otherwise all of them would be sorted by one task.
+    """
+    ordered = entries.orderBy("rank", "resource_type", "id", F.xxhash64("entry"))
     ordered.select("entry").write.mode("overwrite").text(f"{path}/entries")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     head = entries.sparkSession.range(1).select(
