@@ -61,11 +61,12 @@ def queries(spark: SparkSession, lake: str) -> dict:
         return survey.long_surveys(responses, definitions, patients)
 
     def skos_triples():
+        surveyed, in_use = survey.extract(responses, definitions, patients)
         return triples.concept_schemes(
             vocab.merge_vocabularies(
-                vocab.option_vocabularies(survey.used_definitions(responses, definitions)),
+                vocab.option_vocabularies(in_use),
                 vocab.code_vocabulary(obs_long(), OBSERVATION_CODES),
-                vocab.code_vocabulary(survey_long(), QUESTION_CODES),
+                vocab.code_vocabulary(surveyed, QUESTION_CODES),
             )
         )
 

@@ -112,10 +112,13 @@ def vocab_options(spark, d):
 
 
 def vocab_merged(spark, d):
+    rows, definitions = survey.extract(
+        fx.responses(spark, d), fx.questionnaires(spark, d), fx.patients(spark, d)
+    )
     return vocab.merge_vocabularies(
-        vocab_options(spark, d),
+        vocab.option_vocabularies(definitions),
         vocab.code_vocabulary(obs_long(spark, d), "observation_codes"),
-        vocab_question(spark, d),
+        vocab.code_vocabulary(rows, "question_codes"),
     )
 
 

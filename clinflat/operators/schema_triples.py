@@ -74,36 +74,33 @@ def csvw_triples(columns: DataFrame) -> DataFrame:
     subject, parent = F.col("subject"), F.col("parent")
     table = minted_urn(subject, F.lit("table"))
     column = minted_urn(subject, F.lit("column"), F.col("name"))
-    groups = emit(
-        columns.select("subject", "parent").distinct(),
-        [
-            *_group(
-                subject, parent, "Cohort Data Schema",
-                "CSVW schema describing the flattened cohort dataset.",
-            ),
-            type_of(table, CSVW + "Table"),
-            text(table, DCT + "title", "Tabular Data", "en"),
-            link(table, CSVW + "url", DATASET_FILE),
-            link(subject, CSVW + "table", table),
-        ],
-    )
-    described = emit(
-        columns,
-        [
-            type_of(column, CSVW + "Column"),
-            typed(column, CSVW + "name", sanitize_name(F.col("name")), "string"),
-            text(column, CSVW + "titles", F.col("name"), "en"),
-            text(
-                column, DCT + "description", F.concat(F.lit("Data values for "), "name"), "en"
-            ),
-            link(
-                column, CSVW + "propertyUrl", F.concat(F.lit(f"{VOCABULARY_BASE}/"), "vocab_id")
-            ),
-            typed(column, CSVW + "datatype", csvw_datatype(F.col("type")), "string"),
-            link(table, CSVW + "column", column),
-        ],
+    return as_graph(
+        emit(
+            columns,
+            [
+                *_group(
+                    subject, parent, "Cohort Data Schema",
+                    "CSVW schema describing the flattened cohort dataset.",
+                ),
+                type_of(table, CSVW + "Table"),
+                text(table, DCT + "title", "Tabular Data", "en"),
+                link(table, CSVW + "url", DATASET_FILE),
+                link(subject, CSVW + "table", table),
+                type_of(column, CSVW + "Column"),
+                typed(column, CSVW + "name", sanitize_name(F.col("name")), "string"),
+                text(column, CSVW + "titles", F.col("name"), "en"),
+                text(
+                    column, DCT + "description", F.concat(F.lit("Data values for "), "name"), "en"
+                ),
+                link(
+                    column, CSVW + "propertyUrl",
+                    F.concat(F.lit(f"{VOCABULARY_BASE}/"), "vocab_id"),
+                ),
+                typed(column, CSVW + "datatype", csvw_datatype(F.col("type")), "string"),
+                link(table, CSVW + "column", column),
+            ],
+        )
     )
-    return as_graph(groups, described)
 
 
 def _cell(name: str) -> Column:
@@ -122,18 +119,15 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
     """
     subject, parent = F.col("subject"), F.col("parent")
     table = minted_urn(subject, F.lit("table"))
-    groups = emit(
-        rows.select("subject", "parent").distinct(),
-        [
-            *_group(
-                subject, parent, "Data Dictionary Schema",
-                "CSVW schema describing the variables defined in the data dictionary.",
-            ),
-            type_of(table, CSVW + "Table"),
-            text(table, DCT + "title", "Variable Definitions", "en"),
-            link(subject, CSVW + "table", table),
-        ],
-    )
+    group = [
+        *_group(
+            subject, parent, "Data Dictionary Schema",
+            "CSVW schema describing the variables defined in the data dictionary.",
+        ),
+        type_of(table, CSVW + "Table"),
+        text(table, DCT + "title", "Variable Definitions", "en"),
+        link(subject, CSVW + "table", table),
+    ]
     nodes = rows.withColumn("node", _variable_node())
     node = F.col("node")
     owner = blank_node(node, F.lit("owner"))
@@ -142,6 +136,7 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
     variables = emit(
         nodes,
         [
+            *group,
             type_of(node, CSVW + "Column"),
             typed(node, CSVW + "name", F.col("Variable"), "string"),
             text(node, CSVW + "titles", F.col("Name"), "en"),
@@ -184,51 +179,49 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
             link(table, CSVW + "column", node),
         ],
     )
-    return as_graph(groups, variables)
+    return as_graph(variables)
 
 
 def facet_triples(rows: DataFrame) -> DataFrame:
     """Study, section, parent group and selection as concepts the variables link to.
 
-    The concepts come from the distinct facet values; only the link from a variable
-    to its concept is made per row.
+    The schemes exist whether or not any variable uses them. Concept triples of
+    equal facet values fall together in each task before the shuffle.
     """
     facets = F.array(
         *[
             F.struct(
-                F.lit(path).alias("path"), F.lit(title).alias("title"),
-                F.lit(predicate).alias("predicate"), _cell(column).alias("value"),
+                F.lit(path).alias("path"), F.lit(predicate).alias("predicate"),
+                _cell(column).alias("value"),
             )
-            for column, path, title, predicate in FACETS
+            for column, path, _, predicate in FACETS
         ]
     )
     nodes = rows.withColumn("node", _variable_node())
     values = nodes.select("node", F.explode(facets).alias("f")).select("node", "f.*")
     scheme = F.concat(F.lit(f"{VOCABULARY_BASE}/"), "path")
     concept = F.concat(scheme, F.lit("/"), concept_slug(F.col("value")))
-    given = values.where(F.col("value").isNotNull())
+    fixed = F.array(
+        *[F.struct(F.lit(p).alias("path"), F.lit(t).alias("title")) for _, p, t, _ in FACETS]
+    )
     schemes = emit(
-        values.select("path", "title").distinct(),
+        rows.sparkSession.range(1).select(F.inline(fixed)),
         [
             type_of(scheme, SKOS + "ConceptScheme"),
             text(scheme, DCT + "title", F.col("title"), "en"),
         ],
     )
     concepts = emit(
-        given.select("path", "value").distinct(),
+        values.where(F.col("value").isNotNull()),
         [
             type_of(concept, SKOS + "Concept"),
             link(concept, SKOS + "inScheme", scheme),
             text(concept, SKOS + "prefLabel", F.col("value"), "en"),
             link(scheme, SKOS + "hasTopConcept", concept),
+            link(F.col("node"), F.col("predicate"), concept),
         ],
     )
-    links = given.select(
-        F.col("node").alias("s"), F.col("predicate").alias("p"), concept.alias("o"),
-        F.lit("uri").alias("o_kind"), F.lit(None).cast("string").alias("datatype"),
-        F.lit(None).cast("string").alias("lang"),
-    )
-    return as_graph(schemes, concepts, links)
+    return as_graph(schemes, concepts)
 
 
 def value_set_triples(value_sets: DataFrame) -> DataFrame:

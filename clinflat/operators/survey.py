@@ -83,14 +83,17 @@ def response_items(responses: DataFrame, max_depth: int = 10) -> DataFrame:
 
 def questionnaire_refs(responses: DataFrame) -> DataFrame:
     """Distinct questionnaire keys of the responses that have items."""
-    head = "struct<questionnaire:string,item:array<struct<linkId:string>>>"
-    return (
-        parse_once(of_type(responses, schemas.RESPONSE_TYPE), head, "h")
-        .where(F.size("h.item") > 0)
-        .select(questionnaire_key(F.col("h.questionnaire")).alias("q_id"))
-        .where(F.col("q_id").isNotNull())
-        .distinct()
-    )
+    rows = of_type(responses, schemas.RESPONSE_TYPE)
+    if "questionnaire_id" in rows.columns:
+        keys = rows.select(F.col("questionnaire_id").alias("q_id"))
+    else:
+        head = "struct<questionnaire:string,item:array<struct<linkId:string>>>"
+        keys = (
+            parse_once(rows, head, "h")
+            .where(F.size("h.item") > 0)
+            .select(questionnaire_key(F.col("h.questionnaire")).alias("q_id"))
+        )
+    return keys.where(F.col("q_id").isNotNull()).distinct()
 
 
 def used_questionnaires(questionnaires: DataFrame, refs: DataFrame) -> DataFrame:
@@ -204,20 +207,31 @@ def resolve_answers(
     return resolve_patient(resolved, id_map, small_patients).select(*SURVEY_COLUMNS)
 
 
-def long_surveys(
+def extract(
     responses: DataFrame,
     questionnaires: DataFrame,
     patients: DataFrame,
     small_patients: bool | None = None,
-) -> DataFrame:
-    """The long survey table.
+) -> tuple[DataFrame, DataFrame]:
+    """The long survey table and the definitions it was resolved with.
 
-    The definitions in use are written once: they are joined twice, and finding
-    them takes a pass over the responses that should not be repeated. Their size is
-    then measured on that table.
+    The definitions in use are written once: they are joined twice and give the
+    option vocabularies, and finding them takes a pass over the responses that
+    should not be repeated. Their size is then measured on that table.
     """
     definitions = stage(used_definitions(responses, questionnaires), "definitions")
-    return resolve_answers(
+    rows = resolve_answers(
         response_items(responses), definitions, patient_id_map(patients),
         is_small(definitions), small_patients,
     )
+    return rows, definitions
+
+
+def long_surveys(
+    responses: DataFrame,
+    questionnaires: DataFrame,
+    patients: DataFrame,
+    small_patients: bool | None = None,
+) -> DataFrame:
+    """The long survey table."""
+    return extract(responses, questionnaires, patients, small_patients)[0]

@@ -26,7 +26,7 @@ from clinflat.operators import (
     vocab,
 )
 from clinflat.operators.window import Window
-from clinflat.session import is_small, stage
+from clinflat.session import stage
 from clinflat.sources import resources as scans
 from clinflat.sources.sinks import write_entries, write_ntriples, write_table
 
@@ -82,13 +82,7 @@ def _observation(inputs: Inputs, year: int) -> Extraction:
 
 
 def _survey_rows(inputs: Inputs) -> tuple[DataFrame, DataFrame]:
-    definitions = stage(
-        survey.used_definitions(inputs.responses, inputs.questionnaires), "definitions"
-    )
-    rows = survey.resolve_answers(
-        survey.response_items(inputs.responses), definitions,
-        observation.patient_id_map(inputs.patients), is_small(definitions),
-    )
+    rows, definitions = survey.extract(inputs.responses, inputs.questionnaires, inputs.patients)
     return stage(rows, "survey"), definitions
 
 

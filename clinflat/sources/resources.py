@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflat import schemas
-from clinflat.functions.fhirpath import parse_once, unnest
+from clinflat.functions.fhirpath import parse_once, questionnaire_key, unnest
 from clinflat.functions.iso import period_end, period_start
 from clinflat.operators.window import Window
 
+# Fixed value: how a coding system appears in the text of a resource.
+SYSTEM_PATTERN = '"system"\\s*:\\s*"([^"]+)"'
+
 
 def from_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """``resource_type, id, json`` of every line that is a resource.
@@ -28,6 +31,11 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def system_names(json: Column) -> Column:
+    """Every system named in the text of a resource, as an array."""
+    return F.regexp_extract_all(json, F.lit(SYSTEM_PATTERN), 1)
+
+
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return from_json_lines(spark.read.text(path))
 
@@ -36,38 +44,55 @@ def of_type(resources: DataFrame, resource_type: str) -> DataFrame:
     return resources.where(F.col("resource_type") == resource_type)
 
 
-def resource_date(json: Column) -> Column:
-    """The dated field of a resource, null for types that are never filtered."""
-    by_type = F.lit(None).cast("string")
-    for resource_type, field in schemas.DATE_FIELD.items():
-        text = F.from_json(json, f"struct<{field}:string>")[field]
-        by_type = F.when(F.col("resource_type") == resource_type, text).otherwise(by_type)
-    return by_type
-
+def with_promoted(resources: DataFrame) -> DataFrame:
+    """Add the few fields that filters and statistics need beside the JSON.
 
-def with_period(resources: DataFrame) -> DataFrame:
-    """Add ``date_lo``/``date_hi``: the half-open period the resource's date covers."""
-    date = F.coalesce(resource_date(F.col("json")), F.lit(""))
-    return (
-        unnest(resources, F.array(date), "__date", *resources.columns)
-        .withColumn("date_lo", period_start(F.col("__date")))
-        .withColumn("date_hi", period_end(F.col("__date")))
-        .drop("__date")
+    ``date`` is the text of the dated field (null for types that are never
+    filtered), ``date_lo``/``date_hi`` the half-open period it covers,
+    ``questionnaire_id`` the definition a response with items refers to, and
+    ``systems`` every system named in the resource. All come from one parse.
+    """
+    head = (
+        "struct<effectiveDateTime:string,authored:string,questionnaire:string,"
+        "item:array<struct<linkId:string>>>"
+    )
+    date = F.lit(None).cast("string")
+    for resource_type, field in schemas.DATE_FIELD.items():
+        date = F.when(F.col("resource_type") == resource_type, F.col(f"h.{field}")).otherwise(date)
+    is_response = F.col("resource_type") == schemas.RESPONSE_TYPE
+    columns = ("resource_type", "id", "json")
+    dated = parse_once(resources, head, "h", *columns).select(
+        *columns,
+        F.struct(
+            date.alias("date"),
+            F.when(is_response & (F.size("h.item") > 0), questionnaire_key(F.col("h.questionnaire")))
+            .alias("questionnaire_id"),
+        ).alias("f"),
+    )
+    return unnest(dated, F.array("f"), "f", *columns).select(
+        *columns,
+        F.col("f.date").alias("date"),
+        period_start(F.col("f.date")).alias("date_lo"),
+        period_end(F.col("f.date")).alias("date_hi"),
+        F.col("f.questionnaire_id").alias("questionnaire_id"),
+        F.array_distinct(system_names(F.col("json"))).alias("systems"),
     )
 
 
 def write_lake(resources: DataFrame, path: str) -> None:
-    """Store resources as parquet by type, with their period beside the JSON.
+    """Store resources as parquet by type, with the promoted fields as columns.
 
-    Scans then read one type only, and row groups outside the date window are
-    skipped without opening the JSON column.
+    Scans then read one type only, row groups outside the date window are skipped
+    without opening the JSON, and dates, systems and references are read as plain
+    columns instead of from the JSON again.
     """
-    with_period(resources).write.mode("overwrite").partitionBy("resource_type").parquet(path)
+    with_promoted(resources).write.mode("overwrite").partitionBy("resource_type").parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = (
-        "id string, json string, date_lo timestamp, date_hi timestamp, resource_type string"
+        "id string, json string, date string, date_lo timestamp, date_hi timestamp, "
+        "questionnaire_id string, systems array<string>, resource_type string"
     )
     return spark.read.schema(schema).parquet(path)
 
@@ -84,7 +109,7 @@ def scan(resources: DataFrame, resource_type: str, window: Window = Window()) ->
     unbounded = window.date_from is None and window.date_to is None
     if unbounded or resource_type not in schemas.DATE_FIELD:
         return rows
-    rows = rows if "date_lo" in rows.columns else with_period(rows)
+    rows = rows if "date_lo" in rows.columns else with_promoted(rows)
     if window.date_from is not None:
         rows = rows.where(F.col("date_hi") > period_start(F.lit(window.date_from)))
     if window.date_to is not None:

@@ -4,7 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from checks import fixtures as fx
-from clinflat.operators import observation, survey
+from clinflat.operators import observation, stats, survey
+from clinflat.operators.window import Window
+from clinflat.sources import resources
+from test_resources import rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,6 +29,22 @@ def test_unnesting_does_not_shuffle(spark, tmp_path):
     assert sum("from_json(StructField(id" in line for line in text.split("\n")) == 1
 
 
+def test_promoted_columns_give_the_same_results(spark, tmp_path):
+    raw = fx.resources(spark, SF)
+    resources.write_lake(raw, str(tmp_path))
+    lake = resources.read_lake(spark, str(tmp_path))
+    for result in (
+        stats.coding_systems,
+        survey.questionnaire_refs,
+        lambda r: stats.temporal_coverage(r, "Observation"),
+        lambda r: stats.temporal_coverage(r, "QuestionnaireResponse"),
+        lambda r: resources.scan(r, "QuestionnaireResponse", Window("1997", "1998-03")).select("id"),
+    ):
+        assert rows(result(lake)) == rows(result(raw))
+        text = plan(result(lake))
+        assert "from_json" not in text and "json#" not in text
+
+
 def test_used_questionnaires_is_a_semi_join(spark):
     refs = survey.questionnaire_refs(fx.responses(spark, SF))
     assert "LeftSemi" in plan(survey.used_questionnaires(fx.questionnaires(spark, SF), refs))
