@@ -118,7 +118,7 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
     Facets and value sets are separate graphs of the same nodes.
     """
     subject, parent = F.col("subject"), F.col("parent")
-    table = minted_urn(subject, F.lit("table"))
+    table = F.col("table")
     group = [
         *_group(
             subject, parent, "Data Dictionary Schema",
@@ -128,7 +128,9 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
         text(table, DCT + "title", "Variable Definitions", "en"),
         link(subject, CSVW + "table", table),
     ]
-    nodes = rows.withColumn("node", _variable_node())
+    nodes = rows.withColumn("node", _variable_node()).withColumn(
+        "table", minted_urn(subject, F.lit("table"))
+    )
     node = F.col("node")
     owner = blank_node(node, F.lit("owner"))
     attribution = blank_node(node, F.lit("attribution"))
