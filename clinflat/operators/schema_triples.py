@@ -50,6 +50,15 @@ FACETS = (
     ("Selection", "selection", "Variable selection / inclusion status", COHORT + "selectionStatus"),
 )
 
+# Titles and descriptions of the table groups and tables.
+OUTPUT_GROUP = ("Cohort Data Schema", "CSVW schema describing the flattened cohort dataset.")
+OUTPUT_TABLE = "Tabular Data"
+DICTIONARY_GROUP = (
+    "Data Dictionary Schema",
+    "CSVW schema describing the variables defined in the data dictionary.",
+)
+DICTIONARY_TABLE = "Variable Definitions"
+
 
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``name, type`` of a frame's columns."""
@@ -78,12 +87,9 @@ def csvw_triples(columns: DataFrame) -> DataFrame:
         emit(
             columns,
             [
-                *_group(
-                    subject, parent, "Cohort Data Schema",
-                    "CSVW schema describing the flattened cohort dataset.",
-                ),
+                *_group(subject, parent, *OUTPUT_GROUP),
                 type_of(table, CSVW + "Table"),
-                text(table, DCT + "title", "Tabular Data", "en"),
+                text(table, DCT + "title", OUTPUT_TABLE, "en"),
                 link(table, CSVW + "url", DATASET_FILE),
                 link(subject, CSVW + "table", table),
                 type_of(column, CSVW + "Column"),
@@ -120,12 +126,9 @@ def dictionary_triples(rows: DataFrame) -> DataFrame:
     subject, parent = F.col("subject"), F.col("parent")
     table = F.col("table")
     group = [
-        *_group(
-            subject, parent, "Data Dictionary Schema",
-            "CSVW schema describing the variables defined in the data dictionary.",
-        ),
+        *_group(subject, parent, *DICTIONARY_GROUP),
         type_of(table, CSVW + "Table"),
-        text(table, DCT + "title", "Variable Definitions", "en"),
+        text(table, DCT + "title", DICTIONARY_TABLE, "en"),
         link(subject, CSVW + "table", table),
     ]
     nodes = rows.withColumn("node", _variable_node()).withColumn(

@@ -101,6 +101,21 @@ DISTRIBUTION_ROWS = {
     15: "spatialResolution", 16: "status", 17: "temporalResolution", 18: "accessService",
 }
 
+# Messages about metadata that breaks a rule.
+SHEET_MISSING = ("Required sheet '", "' not found in Excel workbook.")
+URI_MISSING = "Catalog.uri is REQUIRED when existing is true."
+PUBLISHER_UNREACHABLE = (
+    "At least one of the Publisher.email or Publisher.page fields are required!"
+)
+PUBLISHER_UNNAMED = (
+    "Publisher.name should be provided if any other publisher fields are given! If you "
+    "don't want to provide a publisher, leave all related fields empty."
+)
+CONTACT_MISSING = "Dataset Contact Point requires at least one of page or email."
+HDAB_MISSING = "Dataset HDAB requires at least one of contact point page or email."
+DATASET_PUBLISHER_MISSING = "Dataset Publisher requires at least one of contact page or email."
+QUALITY_MISSING = "Quality Annotation is required"
+
 
 # --- JSON documents -------------------------------------------------------------------
 
@@ -151,7 +166,8 @@ def resolve_sheets(cells: DataFrame, jobs: DataFrame) -> DataFrame:
     base = present.select("workbook", F.col("sheet").alias("base"), F.lit(True).alias("shared"))
     required = F.col("base").isin(*REQUIRED_SHEETS)
     names = F.coalesce(F.concat("specific", F.lit(" or "), "base"), F.col("base"))
-    message = F.concat(F.lit("Required sheet '"), names, F.lit("' not found in Excel workbook."))
+    before, after = SHEET_MISSING
+    message = F.concat(F.lit(before), names, F.lit(after))
     return (
         wanted.join(own, ["workbook", "specific"], "left")
         .join(base, ["workbook", "base"], "left")
@@ -320,46 +336,22 @@ def metadata_violations(cells: DataFrame) -> DataFrame:
     def present(*names: str) -> Column:
         return reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
 
-    unnamed = (
-        "Publisher.name should be provided if any other publisher fields are given! If you "
-        "don't want to provide a publisher, leave all related fields empty."
-    )
-    catalog = sheet_fields(cells, CATALOG_SHEET, CATALOG_ROWS)
-    dataset = sheet_fields(cells, DATASET_SHEET, DATASET_ROWS)
+    unreachable = missing("publisherPage", "publisherEmail")
+    unnamed = missing("publisherName") & present("publisherPage", "publisherEmail")
     in_catalog = _messages(
-        catalog,
+        sheet_fields(cells, CATALOG_SHEET, CATALOG_ROWS),
         tx.strict_boolean_error(F.col("existing"), "Catalog.existing"),
-        F.when(
-            (F.col("existing") == "true") & missing("uri"),
-            F.lit("Catalog.uri is REQUIRED when existing is true."),
-        ),
-        F.when(
-            present("publisherName") & missing("publisherPage", "publisherEmail"),
-            F.lit("At least one of the Publisher.email or Publisher.page fields are required!"),
-        ),
-        F.when(
-            missing("publisherName") & present("publisherPage", "publisherEmail"), F.lit(unnamed)
-        ),
+        F.when((F.col("existing") == "true") & missing("uri"), F.lit(URI_MISSING)),
+        F.when(present("publisherName") & unreachable, F.lit(PUBLISHER_UNREACHABLE)),
+        F.when(unnamed, F.lit(PUBLISHER_UNNAMED)),
         tx.strict_boolean_error(F.col("publisherTrusted"), "Catalog.publisher.trusted"),
     )
     in_dataset = _messages(
-        dataset,
-        F.when(
-            missing("contactPage", "contactEmail"),
-            F.lit("Dataset Contact Point requires at least one of page or email."),
-        ),
-        F.when(
-            missing("hdabPage", "hdabEmail"),
-            F.lit("Dataset HDAB requires at least one of contact point page or email."),
-        ),
-        F.when(
-            missing("publisherPage", "publisherEmail"),
-            F.lit("Dataset Publisher requires at least one of contact page or email."),
-        ),
-        F.when(
-            missing("publisherName") & present("publisherPage", "publisherEmail"),
-            F.lit("(Dataset) " + unnamed),
-        ),
+        sheet_fields(cells, DATASET_SHEET, DATASET_ROWS),
+        F.when(missing("contactPage", "contactEmail"), F.lit(CONTACT_MISSING)),
+        F.when(missing("hdabPage", "hdabEmail"), F.lit(HDAB_MISSING)),
+        F.when(unreachable, F.lit(DATASET_PUBLISHER_MISSING)),
+        F.when(unnamed, F.lit("(Dataset) " + PUBLISHER_UNNAMED)),
         tx.strict_boolean_error(F.col("publisherTrusted"), "Dataset.Publisher.trusted"),
     )
     return in_catalog.unionByName(in_dataset)
@@ -436,6 +428,6 @@ def form_records(forms: DataFrame) -> DataFrame:
         "form_id", catalog.alias("catalog"), dataset.alias("dataset"),
         distribution.alias("distribution"),
         F.when(
-            value("datasetQualityAnnotation").isNull(), F.lit("Quality Annotation is required")
+            value("datasetQualityAnnotation").isNull(), F.lit(QUALITY_MISSING)
         ).alias("error"),
     )
