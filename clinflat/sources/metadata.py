@@ -136,12 +136,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def for_job(records: DataFrame, job: str) -> DataFrame:
     """The record of one job; an unknown job is an error that lists the known ones."""
-    names = sorted(r["job"] for r in records.select("job").distinct().limit(1000).collect())
-    if job not in names:
-        raise ValueError(
-            f"No metadata found for job '{job}'. Available jobs: {', '.join(names)}"
-        )
-    return records.where(F.col("job") == job)
+    found = records.where(F.col("job") == job)
+    if found.isEmpty():
+        known = records.select("job").distinct().orderBy("job").limit(100).collect()
+        names = ", ".join(r["job"] for r in known)
+        raise ValueError(f"No metadata found for job '{job}'. Available jobs: {names}")
+    return found
 
 
 # --- workbook cells -------------------------------------------------------------------
