@@ -14,6 +14,7 @@ BASE = "http://fixture.example/"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table, spread over the cores when its file is too small to be split."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     large = name in ("customer", "orders", "lineitem", "events", "part")

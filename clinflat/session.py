@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
@@ -21,11 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="clinflat-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="clinflat-")
+    return _local_dirs[context.applicationId]
 
 
 def table_path(spark: SparkSession, name: str) -> str:
