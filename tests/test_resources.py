@@ -184,7 +184,7 @@ def test_ages(spark):
 
 
 DATES = ["2024", "2024-05", "2024-05-31", "2024-05-31T23:59:59Z", "2024-05-31T23:30:00-02:00",
-         "2024-06-01", None, "bad"]
+         "2024-06-01", None, "bad", "12:30", "2024-6-1"]
 
 
 @pytest.mark.parametrize(
