@@ -5,15 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflat.llm import compression_rules, simhash_dedup, suffix_dedup
+from clinflat.llm import (
+    bpe_chunks,
+    compression_rules,
+    decontamination,
+    simhash_dedup,
+    suffix_dedup,
+)
 from clinflat.llm.texts import table
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.components(table(spark, sf_dir, "documents"), width=3, radius=3)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe_chunks.digests(bpe_chunks.encode_documents(docs, vocabulary()))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.matches(docs, benchmark).drop("h1", "h2")
+
+
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -24,6 +47,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_bpe_chunks": op3_bpe_chunks,
+    "op6_decontamination": op6_decontamination,
     "op7_suffix_array": op7_suffix_array,
     "op8_quality": op8_quality,
 }
