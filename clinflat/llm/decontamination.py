@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflat.llm.texts import row_key
+from clinflat.llm.texts import row_key, shingle_hashes
 from clinflat.session import is_small, stage
 
 WIDTH = 5
@@ -34,16 +34,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
 
 
-def shingles(tokens: Column, width: int) -> Column:
-    """Hash of the ``width`` words from each place on; an empty array if there are fewer."""
-    last = F.size(tokens) - width
-    hashed = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(width)]),
-    )
-    return F.when(last >= 0, hashed).otherwise(F.array().cast("array<long>"))
-
-
 def simhash(hashes: Column) -> Column:
     """A bit is 1 if it is set in more than half of the hashes."""
 
@@ -79,7 +69,7 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     items = items.where(F.size("tokens") > 0)
     width = F.least(F.size("tokens"), F.lit(WIDTH))
     by_width = F.coalesce(
-        *[F.when(width == k, shingles(F.col("tokens"), k)) for k in range(1, WIDTH + 1)]
+        *[F.when(width == k, shingle_hashes(F.col("tokens"), k)) for k in range(1, WIDTH + 1)]
     )
     items = items.select(
         "item_id", F.size("tokens").alias("n_words"), width.alias("width"), by_width.alias("hashes")
@@ -123,7 +113,7 @@ def matches(
     anchored = []
     for width in widths:
         found = tokens.select(
-            "h1", "h2", F.posexplode(shingles(F.col("tokens"), width)).alias("pos", "hash")
+            "h1", "h2", F.posexplode(shingle_hashes(F.col("tokens"), width)).alias("pos", "hash")
         )
         anchored.append(
             found.join(lookup.where(F.col("width") == width), "hash").select(
@@ -153,7 +143,7 @@ def matches(
     size = F.col("width")
     by_width = F.coalesce(
         F.lit(None).cast("array<long>"),
-        *[F.when(size == k, shingles(F.col("window"), k)) for k in widths],
+        *[F.when(size == k, shingle_hashes(F.col("window"), k)) for k in widths],
     )
     text = F.concat_ws(" ", F.col("window"))
     windows = placed.select(

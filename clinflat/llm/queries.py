@@ -10,6 +10,7 @@ from clinflat.llm import (
     compression_rules,
     decontamination,
     feistel_shards,
+    license_scan,
     revisits,
     simhash_dedup,
     suffix_dedup,
@@ -123,6 +124,10 @@ def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(bpe_chunks.encode_documents(docs, vocabulary()))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.matches(docs, benchmark).drop("h1", "h2")
@@ -151,6 +156,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
     "op3_bpe_chunks": op3_bpe_chunks,
+    "op5_licenses": op5_licenses,
     "op6_decontamination": op6_decontamination,
     "op7_suffix_array": op7_suffix_array,
     "op8_quality": op8_quality,

@@ -31,6 +31,16 @@ def row_key(id_: Column, text: Column) -> list[Column]:
     return [F.xxhash64(id_, text), F.xxhash64(F.lit(1), text, id_)]
 
 
+def shingle_hashes(tokens: Column, width: int) -> Column:
+    """Hash of the ``width`` words from each place on; an empty array if there are fewer."""
+    last = F.size(tokens) - width
+    hashed = F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(width)]),
+    )
+    return F.when(last >= 0, hashed).otherwise(F.array().cast("array<long>"))
+
+
 def map_rows(
     df: DataFrame, per_row: Callable[..., tuple], schema: str | StructType
 ) -> DataFrame:
