@@ -10,6 +10,7 @@ from clinflat.llm import (
     compression_rules,
     decontamination,
     feistel_shards,
+    interpolated_lm,
     license_scan,
     revisits,
     simhash_dedup,
@@ -124,6 +125,10 @@ def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(bpe_chunks.encode_documents(docs, vocabulary()))
 
 
+def op4_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -156,6 +161,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
     "op3_bpe_chunks": op3_bpe_chunks,
+    "op4_interpolated_lm": op4_interpolated_lm,
     "op5_licenses": op5_licenses,
     "op6_decontamination": op6_decontamination,
     "op7_suffix_array": op7_suffix_array,
