@@ -12,6 +12,7 @@ from clinflat.llm import (
     feistel_shards,
     interpolated_lm,
     license_scan,
+    oracles,
     revisits,
     simhash_dedup,
     suffix_dedup,
@@ -117,7 +118,8 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), labelled_urls(spark), URL_RULES)
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), labelled_urls(spark), URL_RULES)
+    return judged.withColumn("score", F.round("score", 6))
 
 
 def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,4 +172,9 @@ QUERIES = {
     "op10_revisits": op10_revisits,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_url_filter": oracles.url_filter_sql(URL_RULES, BLOCKED_URLS, ALLOWED_URLS),
+    "op7_suffix_array": oracles.SUFFIX_ARRAY,
+    "op9_sharding": oracles.SHARDING,
+    "op10_revisits": oracles.REVISITS,
+}
