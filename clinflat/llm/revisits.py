@@ -29,8 +29,8 @@ HEADERS = "array<struct<name:string,value:string>>"
 
 def canonical_url(url: Column) -> Column:
     """``host[:port]/path[?query]``: without scheme, user, leading ``www.``, default port,
-    fragment and tracking parameters; host in lower case, parameters sorted. Null if there
-    is no host."""
+    fragment and tracking parameters; host in lower case, parameters sorted. Null without
+    a scheme or host."""
     parts = lambda k: F.regexp_extract(
         url, r"^\s*(?:([A-Za-z][A-Za-z0-9+.-]*)://)(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?", k
     )

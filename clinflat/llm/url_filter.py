@@ -100,7 +100,7 @@ def train(
         ),
     )
     zero = F.lit(0.0)
-    one = one.select("rows", products.alias("products"), F.size("rows").alias("n"))
+    one = one.select("rows", products.alias("products"), F.greatest(F.size("rows"), F.lit(1)).alias("n"))
     dot = lambda u, v: F.aggregate(
         F.zip_with(u, v, lambda p, q: p * q), zero, lambda s, t: s + t
     )
