@@ -195,7 +195,7 @@ _REDCAP_TYPE = """CASE WHEN "Field Type" = 'text' THEN CASE p_partkey % 4 WHEN 0
     WHEN 1 THEN 'double' WHEN 2 THEN 'date' ELSE 'string' END
   WHEN "Field Type" = 'calc' THEN 'double' WHEN "Field Type" = 'slider' THEN 'integer'
   ELSE 'string' END"""
-_NAME = f"coalesce(nullif(left({_clean('Field Label')}, 300), ''), \"Variable / Field Name\")"
+_NAME = f"coalesce(nullif({_clean('Field Label')}, ''), \"Variable / Field Name\")"
 # Of the choice lists, kind 0 has two valid entries, kind 1 three, kind 2 one.
 _CODES = """red_codes AS (
   SELECT "Variable / Field Name" AS var, unnest(['1', '2']) AS code,

@@ -290,6 +290,8 @@ def _option(code: str, display: Column | None) -> Column:
 def questionnaires(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per part (``q<key>``) and one per supplier (``u<key>``, never referenced).
 
+    All parts' definitions share the link id ``line``, each with another text.
+
     ``q1`` and ``q2`` share the link id ``status`` with different texts and option
     displays; the suppliers' definitions use it too, but nothing refers to them.
     """
@@ -320,6 +322,7 @@ def questionnaires(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","text":"'), F.col("p_name"), F.lit('","item":['), F.to_json(size), F.lit(","),
         F.to_json(brand), F.lit("]}"),
         F.when(p.isin(1, 2), F.concat(F.lit(","), F.to_json(status))).otherwise(F.lit("")),
+        F.lit(',{"linkId":"line","text":"Line of '), F.col("p_name"), F.lit('"}'),
         F.lit("]}"),
     )
     used = table(spark, sf_dir, "part").select(

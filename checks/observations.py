@@ -105,7 +105,7 @@ def obs_long(spark, d):
 
 def obs_long_salted(spark, d):
     """The same table with the join used when the patient map is too large to broadcast."""
-    return ob.long_observations(fx.observations(spark, d), fx.patients(spark, d), small=False)
+    return ob.long_observations(fx.observations(spark, d), fx.patients(spark, d), limit=0)
 
 
 def sink_csv_roundtrip(spark, d):
@@ -201,7 +201,7 @@ _REF = f"""CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 101 = 0 THEN '
   ELSE 'Patient/p' || user_id END"""
 
 _EARLIEST = ", ".join(
-    f"""(arg_min(value, coalesce(date, '') || chr(1) || value) FILTER (code = '{m}')) AS "{m}\""""
+    f"""(arg_min(value, coalesce(date, 'undated') || chr(1) || value) FILTER (code = '{m}')) AS "{m}\""""
     for m in METRICS
 )
 

@@ -160,6 +160,8 @@ all_q AS (
   UNION ALL SELECT 'q' || p_partkey, 'status',
          CASE WHEN p_partkey = 1 THEN 'Order status' ELSE 'Status of the order' END, NULL,
          p_partkey, p_name, p_brand FROM part WHERE p_partkey IN (1, 2)
+  UNION ALL SELECT 'q' || p_partkey, 'line', 'Line of ' || p_name, NULL, p_partkey, p_name, p_brand
+  FROM part
   UNION ALL SELECT 'u' || s_suppkey, 'status', s_name, NULL, NULL, NULL, NULL FROM supplier),
 opts AS (
   SELECT 'size' || p_partkey AS question_id, 0 AS pos, 'S' AS opt_code, 'Small' AS opt_display
@@ -178,23 +180,28 @@ q_options AS (
   FROM all_q LEFT JOIN opts USING (question_id)
   LEFT JOIN status_opts ON status_opts.id = all_q.id AND question_id = 'status'),
 defs AS (
-  SELECT DISTINCT question_id, text_def, value_set_url, opt_code, opt_display
+  SELECT DISTINCT id AS questionnaire_id, question_id, text_def, value_set_url, opt_code, opt_display
   FROM q_options WHERE id IN (SELECT id FROM used_q)),
 def_opts AS (
-  SELECT DISTINCT question_id, opt_code AS val_code, opt_display FROM defs
-  WHERE opt_code IS NOT NULL),
-def_text AS (SELECT DISTINCT question_id, text_def FROM defs WHERE text_def IS NOT NULL)"""
+  SELECT questionnaire_id AS q, question_id, opt_code AS val_code, min(opt_display) AS opt_display
+  FROM defs WHERE opt_code IS NOT NULL GROUP BY ALL),
+def_text AS (SELECT questionnaire_id AS q, question_id, min(text_def) AS text_def FROM defs
+  WHERE text_def IS NOT NULL GROUP BY ALL)"""
+
+JOIN_OPTIONS = """LEFT JOIN def_opts o ON o.q = split_part(i.ref, '/', -1)
+  AND o.question_id = i.question_id AND o.val_code = i.val_code"""
+JOIN_TEXTS = """LEFT JOIN def_text t ON t.q = split_part(i.ref, '/', -1)
+  AND t.question_id = i.question_id"""
 
 ANSWER = """coalesce(opt_display, val_disp_resp, val_string, val_integer, val_decimal, val_boolean,
            val_date, val_datetime, val_time, val_uri,
-           val_qty || coalesce(' ' || val_qty_unit, ''), val_code)"""
+           val_qty || coalesce(' ' || val_qty_unit, ''), i.val_code)"""
 
 SURVEY_LONG = f"""survey_long AS (
-  SELECT coalesce(pat.pid, i.patient_uuid) AS pid, question_id AS code,
+  SELECT coalesce(pat.pid, i.patient_uuid) AS pid, i.question_id AS code,
          coalesce(text_def, text_resp) AS display, {ANSWER} AS answer, date
   FROM (SELECT * FROM items WHERE question_id IS NOT NULL) i
-  LEFT JOIN def_opts USING (question_id, val_code)
-  LEFT JOIN def_text USING (question_id)
+  {JOIN_OPTIONS} {JOIN_TEXTS}
   LEFT JOIN pat ON pat.patient_uuid = i.patient_uuid
   WHERE {ANSWER} IS NOT NULL AND coalesce(text_def, text_resp) IS NOT NULL)"""
 

@@ -55,7 +55,7 @@ def used_questionnaires(spark, d):
 
 
 def qr_option_join(spark, d):
-    asked = survey.response_items(fx.responses(spark, d)).where(F.col("val_code").isNotNull())
+    asked = survey.response_items(fx.responses(spark, d))
     return survey.join_options(asked, _definitions(spark, d)).select(
         F.col("resource_id").alias("rid"), "question_id", "val_code", "opt_display"
     )
@@ -86,7 +86,7 @@ def survey_long_salted(spark, d):
     """The same table with the joins used when neither lookup may be broadcast."""
     return survey.resolve_answers(
         survey.response_items(fx.responses(spark, d)), _definitions(spark, d),
-        survey.patient_id_map(fx.patients(spark, d)), False, False,
+        survey.patient_id_map(fx.patients(spark, d)), 0,
     )
 
 
@@ -170,14 +170,11 @@ ORACLES = {
     "used_questionnaires": _DEFS
     + "SELECT DISTINCT id FROM all_q WHERE id IN (SELECT id FROM used_q)",
     "qr_option_join": _BOTH
-    + """SELECT rid, question_id, val_code, opt_display FROM items
-        LEFT JOIN def_opts USING (question_id, val_code) WHERE val_code IS NOT NULL""",
+    + f"""SELECT rid, i.question_id, i.val_code, opt_display FROM items i {sql.JOIN_OPTIONS}""",
     "qr_text_join": _BOTH
-    + """SELECT rid, question_id, text_def, text_resp FROM items
-        LEFT JOIN def_text USING (question_id)""",
+    + f"""SELECT rid, i.question_id, text_def, text_resp FROM items i {sql.JOIN_TEXTS}""",
     "qr_answer": _BOTH
-    + f"""SELECT rid, question_id, {sql.ANSWER} AS answer FROM items
-        LEFT JOIN def_opts USING (question_id, val_code)""",
+    + f"""SELECT rid, i.question_id, {sql.ANSWER} AS answer FROM items i {sql.JOIN_OPTIONS}""",
     "survey_long": _SURVEY + _LONG,
     "survey_long_salted": _SURVEY + _LONG,
     "full_long": sql.with_(*sql.EVERYTHING) + "SELECT * FROM full_long",

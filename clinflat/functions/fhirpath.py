@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 # Fixed value: how a reference names a patient (relative, absolute or versioned).
 PATIENT_REFERENCE = "(?:^|/)Patient/([A-Za-z0-9.-]{1,64})(?:/_history/.*)?$"
 
+# The number of a value as text, digit for digit: parsing would round it. An escaped quote
+# inside a text can't end a key, so texts are left alone.
+NUMBERS_AS_TEXT = (
+    r"""regexp_replace(json, '("value(?:Integer|Decimal)?"[ \\t\\r\\n]*:[ \\t\\r\\n]*)(-?[0-9][-+.0-9eE]*)', """
+    r"""'$1"$2"')"""
+)
+
 
 def reference_key(ref: Column) -> Column:
     """Patient id of a reference; null when the target is not a patient."""
@@ -42,7 +49,9 @@ def unnest(df: DataFrame, array: Column, name: str, *keep: str | Column) -> Data
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
-def parse_once(df: DataFrame, schema: str, name: str, *keep: str, json: str = "json") -> DataFrame:
+def parse_once(
+    df: DataFrame, schema: str, name: str, *keep: str, json: str | Column = "json"
+) -> DataFrame:
     """Parse a JSON column into ``name``, dropping rows where it is null.
 
     Filters on parsed fields stay above the parsing instead of repeating it.
@@ -56,7 +65,6 @@ def nested_items(
     through_answers: bool,
     typed_levels: int,
     text_schema: str,
-    max_depth: int,
     types: dict[str, str] | None = None,
 ) -> str:
     """SQL expression for the items of every nesting level, as one array of structs.
@@ -67,8 +75,8 @@ def nested_items(
     Items below the typed levels are JSON texts; those are parsed level by level
     with ``text_schema``, and only where a resource nests that deep. Each level is
     bound to a variable, so none is computed twice; the whole is one narrow
-    expression without a shuffle. Nesting beyond ``max_depth`` levels raises
-    instead of being cut off.
+    expression without a shuffle. There is no limit of depth: a text has at most one
+    level more than the key ``item`` stands in it, and that many steps are taken.
     """
     types = types or {}
     row_type = ",".join(f"{name}:{types.get(name, 'string')}" for name in fields)
@@ -82,17 +90,17 @@ def nested_items(
                if(i.item is null and size(i.answer) = 1, i.answer[0].item,
                   flatten(filter(concat(array(i.item), i.answer.item), c -> c is not null)))),
             array())"""
-    text_levels = max(1, max_depth - typed_levels - 1)
+    levels = """1 + aggregate(texts, 0, (n, j) ->
+        n + cast((length(j) - length(replace(j, '"item"', ''))) / 6 as int))"""
     deeper = f"""aggregate(
-        sequence(1, {text_levels}),
+        sequence(1, {levels}),
         named_struct('rows', cast(array() as array<struct<{row_type}>>), 'texts', texts),
         (acc, depth) -> if(size(acc.texts) = 0, acc, transform(
             array(transform(acc.texts, j -> from_json(j, '{text_schema}'))),
             level -> named_struct(
                 'rows', concat(acc.rows, transform(level, i -> {row})),
                 'texts', flatten(transform(level, i -> {children}))))[0]),
-        acc -> if(size(acc.texts) = 0, acc.rows,
-                  raise_error('items nest deeper than {max_depth} levels')))"""
+        acc -> acc.rows)"""
 
     def level(depth: int, this: str) -> str:
         last = depth == typed_levels

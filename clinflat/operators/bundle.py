@@ -33,11 +33,12 @@ def transaction_entries(resources: DataFrame) -> DataFrame:
     """``rank, resource_type, id, method, url, entry``: one entry per resource.
 
     Resources with an id are put, others posted. Nothing is removed. The entry is
-    the JSON text; ``rank`` and ``id`` give the order when one is wanted.
+    the JSON text on one line: a line break in JSON is layout, in a string it is escaped.
+    ``rank`` and ``id`` give the order when one is wanted.
     """
     method, url = _request(F.col("resource_type"), F.col("id"))
     entry = F.concat(
-        F.lit('{"resource":'), F.col("json"), F.lit(',"request":'),
+        F.lit('{"resource":'), F.regexp_replace("json", "[\r\n]+", " "), F.lit(',"request":'),
         F.to_json(F.struct("method", "url")), F.lit("}"),
     )
     return (
@@ -99,10 +100,11 @@ def deduplicate(resources: DataFrame) -> DataFrame:
 
     Definitions come first, then folders and files by name. Copies are reduced in
     each task before the shuffle, so many copies of one resource do not pile up;
-    content is compared by its SHA-256 digest.
+    content is compared by the SHA-256 digest of the parsed value, whatever its layout.
     """
+    content = F.coalesce(F.to_json(F.try_parse_json("json")), F.col("json"))
     key = F.coalesce(
-        F.concat(F.lit("id:"), "id"), F.concat(F.lit("sha:"), F.sha2("json", 256))
+        F.concat(F.lit("id:"), "id"), F.concat(F.lit("sha:"), F.sha2(content, 256))
     )
     order = F.struct((F.col("dir") != DEFINITION_FOLDER).alias("late"), "dir", "file", "path")
     return (

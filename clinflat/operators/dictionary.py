@@ -10,11 +10,10 @@ from clinflat.functions.text import blank_to_null, strip_html, trim_cell, trim_w
 from clinflat.namespaces import VOCABULARY_BASE
 from clinflat.schemas import DICTIONARY_COLUMNS, VALUE_SET_COLUMNS
 
-# What is left out, how long a label may be, how codes are written.
+# What is left out, how codes are written.
 SKIPPED_FORMS = ("etusivu", "suostumus")
 SKIPPED_TYPES = ("descriptive",)
 SKIPPED_NAMES = ("record_id", "kukuid")
-LABEL_LENGTH = 300
 CODE_NOTICE = "(-?\\d+)\\s*=\\s*(.+?)(?:\\r?\\n|$)"
 REQUIRED_COLUMNS = ("Variable", "Name", "Datatype")
 
@@ -120,7 +119,7 @@ def redcap_dictionary(rows: DataFrame, study: str) -> DataFrame:
     """
     variable = F.col("Variable / Field Name")
     section = strip_html(F.col("Section Header"))
-    label = F.substring(strip_html(F.col("Field Label")), 1, LABEL_LENGTH)
+    label = strip_html(F.col("Field Label"))
     name = _first_text(label, variable)
     codes = choices(F.col("Choices, Calculations, OR Slider Labels"))
     return _dictionary(

@@ -2,36 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflat.session import is_small
+from clinflat.session import BROADCAST_BYTES, is_small
 
-# Copies of each lookup row, hence pieces a single key is split into. The lookup
-# is two or three short columns, so copying it costs far less than one slow task;
-# adaptive skew handling splits a piece further if it is still too large.
-SALTS = 32
+# Places that rows without a key are spread over.
+SPREAD = 256
 
 
 def left_lookup(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    row_id: str,
-    small: bool | None = None,
-    salts: int = SALTS,
+    facts: DataFrame, lookup: DataFrame, on: list[str], limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``facts`` left-joined to ``lookup`` on equal keys.
 
-    ``small`` says whether the lookup may be broadcast; when it is not given, the
-    lookup is measured. A large lookup is joined on the keys plus a salt: each
-    fact row gets a salt from its ``row_id`` (a hash, so a repeated task gives the
-    same salt) and each lookup row is repeated once per salt. Rows with null keys
-    match nothing and are spread over the salts as well.
+    The lookup is measured and broadcast only if it is at most ``limit`` bytes. A larger
+    one is joined by key, once and without copies: partitions that a frequent key makes
+    large are split by adaptive execution. Rows without a key match nothing; they get a
+    number from a hash of the row as another key, so that they don't pile up.
     """
-    if is_small(lookup) if small is None else small:
+    if limit > 0 and is_small(lookup, limit):
         return facts.join(F.broadcast(lookup), on, "left")
-    salted_facts = facts.withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_lookup = lookup.withColumn("__salt", copies)
-    return salted_facts.join(salted_lookup, [*on, "__salt"], "left").drop("__salt")
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    place = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int") + 1
+    spread = facts.withColumn("__spread", F.when(keyless, place).otherwise(0))
+    keyed = lookup.withColumn("__spread", F.lit(0))
+    return spread.join(keyed, [*on, "__spread"], "left").drop("__spread")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflat import schemas
 from clinflat.functions.fhirpath import (
+    NUMBERS_AS_TEXT,
     first_coding,
     parse_once,
     reference_key,
@@ -14,6 +15,7 @@ from clinflat.functions.fhirpath import (
     with_unit,
 )
 from clinflat.operators.joins import left_lookup
+from clinflat.session import BROADCAST_BYTES
 from clinflat.sources.resources import of_type
 
 LONG_COLUMNS = ("pid", "code", "display", "value", "date")
@@ -31,7 +33,9 @@ def patient_id_map(patients: DataFrame) -> DataFrame:
 def parse(observations: DataFrame) -> DataFrame:
     """``resource_id, patient_uuid, date, r`` with the parsed observation in ``r``."""
     resources = of_type(observations, schemas.OBSERVATION_TYPE)
-    return parse_once(resources, schemas.OBSERVATION, "r", "id").select(
+    return parse_once(
+        resources, schemas.OBSERVATION, "r", "id", json=F.expr(NUMBERS_AS_TEXT)
+    ).select(
         F.col("id").alias("resource_id"),
         reference_key(F.col("r.subject.reference")).alias("patient_uuid"),
         F.col("r.effectiveDateTime").alias("date"),
@@ -119,15 +123,17 @@ def measurements(observations: DataFrame) -> DataFrame:
     return rows.select("resource_id", "patient_uuid", "m.code", "m.display", "m.value", "date")
 
 
-def resolve_patient(rows: DataFrame, id_map: DataFrame, small: bool | None = None) -> DataFrame:
+def resolve_patient(
+    rows: DataFrame, id_map: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Add ``pid``: the mapped identifier, or the reference itself if unknown."""
-    joined = left_lookup(rows, id_map, ["patient_uuid"], "resource_id", small)
+    joined = left_lookup(rows, id_map, ["patient_uuid"], limit)
     return joined.withColumn("pid", F.coalesce("pid", "patient_uuid"))
 
 
 def long_observations(
-    observations: DataFrame, patients: DataFrame, small: bool | None = None
+    observations: DataFrame, patients: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """The long observation table. ``small``: may the patient map be broadcast."""
-    rows = resolve_patient(measurements(observations), patient_id_map(patients), small)
+    """The long observation table. ``limit``: bytes of a patient map that may be broadcast."""
+    rows = resolve_patient(measurements(observations), patient_id_map(patients), limit)
     return rows.select(*LONG_COLUMNS)

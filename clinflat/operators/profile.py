@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 def patient_profiles(rows: DataFrame, metrics: list[str]) -> DataFrame:
     """Pivot ``pid, code, value, date`` over a given metric list.
 
-    Of several values the one with the earliest date is taken (ties by value), so
-    the result does not depend on row order. Values are reduced per patient and
+    Of several values the one with the earliest date is taken (ties by value, values
+    without a date last), so the result does not depend on row order. Values are reduced per patient and
     metric before the shuffle.
     """
-    earliest = F.min(F.struct("date", "value"))["value"]
+    undated = F.col("date").isNull().alias("undated")
+    earliest = F.min(F.struct(undated, "date", "value"))["value"]
     return (
         rows.where(F.col("value").isNotNull())
         .groupBy("pid")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflat import schemas
 from clinflat.functions.fhirpath import (
+    NUMBERS_AS_TEXT,
     nested_items,
     parse_once,
     questionnaire_key,
@@ -15,7 +16,7 @@ from clinflat.functions.fhirpath import (
 )
 from clinflat.operators.joins import left_lookup
 from clinflat.operators.observation import patient_id_map, resolve_patient
-from clinflat.session import is_small, stage
+from clinflat.session import BROADCAST_BYTES, stage
 from clinflat.sources.resources import of_type
 
 SURVEY_COLUMNS = ("pid", "code", "display", "answer", "date")
@@ -53,20 +54,20 @@ _DEFINITION_TYPES = {"opt_codes": "array<string>", "opt_disps": "array<string>"}
 TYPED_LEVELS = 3
 
 
-def response_items(responses: DataFrame, max_depth: int = 10) -> DataFrame:
+def response_items(responses: DataFrame) -> DataFrame:
     """One row per item at any depth, with the first answer's fields.
 
     Items are followed through ``item`` and through ``answer.item``; the fields of
     the response are repeated on each row.
     """
     items = nested_items(
-        "r.item", _RESPONSE_FIELDS, True, TYPED_LEVELS, schemas.response_item(0), max_depth
+        "r.item", _RESPONSE_FIELDS, True, TYPED_LEVELS, schemas.response_item(0)
     )
     schema = schemas.questionnaire_response(TYPED_LEVELS)
     # Parsing and flattening are one expression: the parsed tree is never written
     # out as a row, only the flat items are.
     flat = F.expr(
-        f"""transform(array(from_json(json, '{schema}')), r -> named_struct(
+        f"""transform(array(from_json({NUMBERS_AS_TEXT}, '{schema}')), r -> named_struct(
             'reference', r.subject.reference, 'date', r.authored,
             'questionnaire_ref', r.questionnaire, 'items', {items}))"""
     )
@@ -102,11 +103,11 @@ def used_questionnaires(questionnaires: DataFrame, refs: DataFrame) -> DataFrame
     return definitions.join(refs, definitions["id"] == refs["q_id"], "left_semi")
 
 
-def definition_items(questionnaires: DataFrame, max_depth: int = 10) -> DataFrame:
+def definition_items(questionnaires: DataFrame) -> DataFrame:
     """One row per defined item at any depth with its answer options."""
     items = nested_items(
         "r.item", _DEFINITION_FIELDS, False, TYPED_LEVELS, schemas.questionnaire_item(0),
-        max_depth, _DEFINITION_TYPES,
+        _DEFINITION_TYPES,
     )
     schema = schemas.questionnaire(TYPED_LEVELS)
     flat = F.expr(f"transform(array(from_json(json, '{schema}')), r -> {items})")
@@ -130,10 +131,10 @@ def option_rows(items: DataFrame) -> DataFrame:
 
 
 def flat_definitions(questionnaires: DataFrame) -> DataFrame:
+    """Distinct item and option rows, each with its questionnaire."""
+    columns = ("question_id", "text_def", "value_set_url", "opt_code", "opt_display")
     return (
-        option_rows(definition_items(questionnaires))
-        .select("question_id", "text_def", "value_set_url", "opt_code", "opt_display")
-        .distinct()
+        option_rows(definition_items(questionnaires)).select("questionnaire_id", *columns).distinct()
     )
 
 
@@ -143,18 +144,20 @@ def used_definitions(responses: DataFrame, questionnaires: DataFrame) -> DataFra
 
 
 def option_displays(definitions: DataFrame) -> DataFrame:
+    """One display per questionnaire, question and code: the first in the alphabet."""
     return (
         definitions.where(F.col("opt_code").isNotNull())
-        .select("question_id", F.col("opt_code").alias("val_code"), "opt_display")
-        .distinct()
+        .groupBy("questionnaire_id", "question_id", F.col("opt_code").alias("val_code"))
+        .agg(F.min("opt_display").alias("opt_display"))
     )
 
 
 def question_texts(definitions: DataFrame) -> DataFrame:
+    """One text per questionnaire and question: the first in the alphabet."""
     return (
         definitions.where(F.col("text_def").isNotNull())
-        .select("question_id", "text_def")
-        .distinct()
+        .groupBy("questionnaire_id", "question_id")
+        .agg(F.min("text_def").alias("text_def"))
     )
 
 
@@ -171,31 +174,42 @@ def answer_text() -> Column:
     )
 
 
-def join_options(items: DataFrame, definitions: DataFrame, small: bool | None = None) -> DataFrame:
-    """Add the option display. Two displays for a code give two rows, on purpose."""
-    return left_lookup(
-        items, option_displays(definitions), ["question_id", "val_code"], "resource_id", small
-    )
+def _of_questionnaire(items: DataFrame) -> DataFrame:
+    return items.withColumn("questionnaire_id", questionnaire_key(F.col("questionnaire_ref")))
+
 
+def join_options(
+    items: DataFrame, definitions: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add the option display that the response's own questionnaire gives for the code."""
+    on = ["questionnaire_id", "question_id", "val_code"]
+    return left_lookup(_of_questionnaire(items), option_displays(definitions), on, limit)
 
-def join_texts(items: DataFrame, definitions: DataFrame, small: bool | None = None) -> DataFrame:
-    """Add the question text. Link ids are not unique across questionnaires, so a
-    link id with two texts gives two rows, on purpose."""
-    return left_lookup(items, question_texts(definitions), ["question_id"], "resource_id", small)
+
+def join_texts(
+    items: DataFrame, definitions: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add the question text from the response's own questionnaire. Link ids repeat from
+    one questionnaire to the next, so an item is never matched with another's."""
+    on = ["questionnaire_id", "question_id"]
+    return left_lookup(_of_questionnaire(items), question_texts(definitions), on, limit)
 
 
 def resolve_answers(
     items: DataFrame,
     definitions: DataFrame,
     id_map: DataFrame,
-    small_definitions: bool | None = None,
-    small_patients: bool | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Items with codes resolved to ``pid, code, display, answer, date``."""
+    """Items with codes resolved to ``pid, code, display, answer, date``.
+
+    One row per answered item that has a link id and a text; the response's own text and
+    display count where its reference names no definition at hand.
+    """
     asked = items.where(F.col("question_id").isNotNull())
-    with_displays = join_options(asked, definitions, small_definitions)
+    with_displays = join_options(asked, definitions, limit)
     resolved = (
-        join_texts(with_displays, definitions, small_definitions)
+        join_texts(with_displays, definitions, limit)
         .withColumn("answer", answer_text())
         .withColumn("display", F.coalesce("text_def", "text_resp"))
         .where(F.col("answer").isNotNull() & F.col("display").isNotNull())
@@ -204,25 +218,24 @@ def resolve_answers(
             "answer", "date",
         )
     )
-    return resolve_patient(resolved, id_map, small_patients).select(*SURVEY_COLUMNS)
+    return resolve_patient(resolved, id_map, limit).select(*SURVEY_COLUMNS)
 
 
 def extract(
     responses: DataFrame,
     questionnaires: DataFrame,
     patients: DataFrame,
-    small_patients: bool | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """The long survey table and the definitions it was resolved with.
 
     The definitions in use are written once: they are joined twice and give the
     option vocabularies, and finding them takes a pass over the responses that
-    should not be repeated. Their size is then measured on that table.
+    should not be repeated.
     """
     definitions = stage(used_definitions(responses, questionnaires), "definitions")
     rows = resolve_answers(
-        response_items(responses), definitions, patient_id_map(patients),
-        is_small(definitions), small_patients,
+        response_items(responses), definitions, patient_id_map(patients), limit
     )
     return rows, definitions
 
@@ -231,7 +244,7 @@ def long_surveys(
     responses: DataFrame,
     questionnaires: DataFrame,
     patients: DataFrame,
-    small_patients: bool | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The long survey table."""
-    return extract(responses, questionnaires, patients, small_patients)[0]
+    return extract(responses, questionnaires, patients, limit)[0]

@@ -28,6 +28,7 @@ from clinflat.operators import (
 from clinflat.operators.window import Window
 from clinflat.session import stage
 from clinflat.sources import resources as scans
+from clinflat.sources.metadata import for_job
 from clinflat.sources.sinks import write_entries, write_ntriples, write_table
 
 # The output folder of each job.
@@ -203,13 +204,19 @@ def run_jobs(
     ``records`` has one metadata record per job. All jobs are extracted before
     anything is described, since the catalog carries dates over all of them.
     """
+    unknown = [j for j in jobs if j != "bundle" and j not in _EXTRACT]
+    if unknown:
+        raise ValueError(f"unknown jobs: {', '.join(unknown)}")
+    for job in jobs:
+        if job != "bundle":
+            for_job(records, job)  # stops on a job without a record
     inputs = Inputs.of(resources, window)
     if "bundle" in jobs:
         entries = bundle.transaction_entries(
             reduce(lambda a, b: a.unionByName(b), inputs.all())
         )
         write_entries(entries, f"{output}/{FOLDERS['bundle']}")
-    extractions = [extract(j, inputs, reference_year) for j in jobs if j in _EXTRACT]
+    extractions = [extract(j, inputs, reference_year) for j in jobs if j != "bundle"]
     if not extractions:
         return
     described = stage(with_statistics(records, extractions, run, mode), "records")

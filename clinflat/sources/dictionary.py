@@ -30,7 +30,16 @@ SHEET_LANGUAGE_POSITIONS = {
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Trimmed header names of a CSV file; reads its first row only."""
+    """Trimmed header names of the CSV files, read from the first row of the first one.
+
+    Cells are later read by position, so files with different headers are an error.
+    """
+    start = F.substring_index("value", "\n", 1)
+    heads = spark.read.text(path, wholetext=True).select(
+        F.regexp_replace(start, "[\r\ufeff]", "").alias("head")
+    )
+    if heads.distinct().limit(2).count() > 1:
+        raise ValueError(f"the files of {path} have different header rows: read them one by one")
     first = (
         spark.read.option("header", False).option("multiLine", True).option("escape", '"')
         .csv(path).first()

@@ -138,7 +138,7 @@ def for_job(records: DataFrame, job: str) -> DataFrame:
     """The record of one job; an unknown job is an error that lists the known ones."""
     found = records.where(F.col("job") == job)
     if found.isEmpty():
-        known = records.select("job").distinct().orderBy("job").limit(100).collect()
+        known = records.select("job").distinct().orderBy("job").collect()
         names = ", ".join(r["job"] for r in known)
         raise ValueError(f"No metadata found for job '{job}'. Available jobs: {names}")
     return found
@@ -187,9 +187,13 @@ def job_cells(cells: DataFrame, resolved: DataFrame) -> DataFrame:
 
 
 def sheet_fields(cells: DataFrame, base: str, rows: dict[int, str]) -> DataFrame:
-    """A one-value-per-row sheet as one row per workbook and job; blank is null."""
+    """A one-value-per-row sheet as one row per workbook and job; blank is null.
+
+    A sheet that is there but has no value at all gives a row of nulls.
+    """
     values = (
-        cells.where((F.col("base") == base) & (F.col("col_idx") == VALUE_COLUMN))
+        cells.where(F.col("base") == base)
+        .withColumn("row_idx", F.when(F.col("col_idx") == VALUE_COLUMN, F.col("row_idx")))
         .groupBy("workbook", "job")
         .pivot("row_idx", list(rows))
         .agg(F.first("value", ignorenulls=True))

@@ -32,8 +32,9 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def system_names(json: Column) -> Column:
-    """Every system named in the text of a resource, as an array."""
-    return F.regexp_extract_all(json, F.lit(SYSTEM_PATTERN), 1)
+    """Every system named in the text of a resource, as an array, escaped slashes undone."""
+    found = F.regexp_extract_all(json, F.lit(SYSTEM_PATTERN), 1)
+    return F.transform(found, lambda s: F.replace(s, F.lit("\\/"), F.lit("/")))
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +49,8 @@ def with_promoted(resources: DataFrame) -> DataFrame:
     """Add the few fields that filters and statistics need beside the JSON.
 
     ``date`` is the text of the dated field (null for types that are never
-    filtered), ``date_lo``/``date_hi`` the half-open period it covers,
+    filtered), ``date_lo``/``date_hi`` the half-open period it covers in
+    microseconds since 1970 (parquet has no statistics on Spark's default timestamps),
     ``questionnaire_id`` the definition a response with items refers to, and
     ``systems`` every system named in the resource. All come from one parse.
     """
@@ -72,8 +74,8 @@ def with_promoted(resources: DataFrame) -> DataFrame:
     return unnest(dated, F.array("f"), "f", *columns).select(
         *columns,
         F.col("f.date").alias("date"),
-        period_start(F.col("f.date")).alias("date_lo"),
-        period_end(F.col("f.date")).alias("date_hi"),
+        F.unix_micros(period_start(F.col("f.date"))).alias("date_lo"),
+        F.unix_micros(period_end(F.col("f.date"))).alias("date_hi"),
         F.col("f.questionnaire_id").alias("questionnaire_id"),
         F.array_distinct(system_names(F.col("json"))).alias("systems"),
     )
@@ -82,16 +84,19 @@ def with_promoted(resources: DataFrame) -> DataFrame:
 def write_lake(resources: DataFrame, path: str) -> None:
     """Store resources as parquet by type, with the promoted fields as columns.
 
-    Scans then read one type only, row groups outside the date window are skipped
-    without opening the JSON, and dates, systems and references are read as plain
-    columns instead of from the JSON again.
+    Rows are ordered by type and date, undated ones spread by a hash, so that each file
+    covers a short time. Scans then read one type only, files and row groups outside the
+    date window are skipped without opening the JSON, and dates, systems and references
+    are read as plain columns instead of from the JSON again.
     """
-    with_promoted(resources).write.mode("overwrite").partitionBy("resource_type").parquet(path)
+    order = ("resource_type", "date_lo", F.xxhash64("id"))
+    placed = with_promoted(resources).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed.write.mode("overwrite").partitionBy("resource_type").parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = (
-        "id string, json string, date string, date_lo timestamp, date_hi timestamp, "
+        "id string, json string, date string, date_lo long, date_hi long, "
         "questionnaire_id string, systems array<string>, resource_type string"
     )
     return spark.read.schema(schema).parquet(path)
@@ -111,7 +116,7 @@ def scan(resources: DataFrame, resource_type: str, window: Window = Window()) ->
         return rows
     rows = rows if "date_lo" in rows.columns else with_promoted(rows)
     if window.date_from is not None:
-        rows = rows.where(F.col("date_hi") > period_start(F.lit(window.date_from)))
+        rows = rows.where(F.col("date_hi") > F.unix_micros(period_start(F.lit(window.date_from))))
     if window.date_to is not None:
-        rows = rows.where(F.col("date_lo") < period_end(F.lit(window.date_to)))
+        rows = rows.where(F.col("date_lo") < F.unix_micros(period_end(F.lit(window.date_to))))
     return rows.select(*resources.columns)

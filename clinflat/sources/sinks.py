@@ -23,14 +23,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 
 def write_entries(entries: DataFrame, path: str, timestamp: Column | None = None) -> None:
-    """Transaction entries, one per line and in bundle order, in ``path/entries``;
-    the bundle's own fields in ``path/envelope``.
+    """Transaction entries, one per line, in ``path/entries``, a folder ``rank=<n>`` for each
+    type in bundle order; the bundle's own fields in ``path/envelope``.
 
-    Resources without an id share their sort key, so a hash of the entry follows
-    it: otherwise all of them would be sorted by one task.
+    Within a type the order does not matter, so nothing is sorted or moved.
     """
-    ordered = entries.orderBy("rank", "resource_type", "id", F.xxhash64("entry"))
-    ordered.select("entry").write.mode("overwrite").text(f"{path}/entries")
+    lines = entries.select("rank", "entry").write.mode("overwrite").partitionBy("rank")
+    lines.text(f"{path}/entries")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     head = entries.sparkSession.range(1).select(
         envelope(now if timestamp is None else timestamp).alias("value")
@@ -46,12 +45,24 @@ def _escape(c: Column) -> Column:
     return c
 
 
+# Characters that N-Triples does not allow in an address.
+IRI_ESCAPED = ["\\", *map(chr, range(0x21)), *'<>"{}|^`']
+
+
+def _address(c: Column) -> Column:
+    """An address with the characters that are not allowed written as ``\\uXXXX``."""
+    escaped = c
+    for x in IRI_ESCAPED:
+        escaped = F.replace(escaped, F.lit(x), F.lit(f"\\u{ord(x):04X}"))
+    return F.when(c.rlike(r"[\x00-\x20<>\"{}|^`\\]"), escaped).otherwise(c)
+
+
 def ntriples(triples: DataFrame) -> DataFrame:
     """One N-Triples line per triple, in column ``value``."""
 
     def node(c: Column) -> Column:
         return F.when(F.startswith(c, F.lit("_:")), c).otherwise(
-            F.concat(F.lit("<"), c, F.lit(">"))
+            F.concat(F.lit("<"), _address(c), F.lit(">"))
         )
 
     quoted = F.concat(F.lit('"'), _escape(F.col("o")), F.lit('"'))
@@ -62,7 +73,7 @@ def ntriples(triples: DataFrame) -> DataFrame:
         node(F.col("o"))
     )
     return triples.select(
-        F.concat(node(F.col("s")), F.lit(" <"), "p", F.lit("> "), obj, F.lit(" .")).alias("value")
+        F.concat(node(F.col("s")), F.lit(" <"), _address(F.col("p")), F.lit("> "), obj, F.lit(" .")).alias("value")
     )
 
 

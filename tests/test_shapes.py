@@ -50,11 +50,11 @@ def test_used_questionnaires_is_a_semi_join(spark):
     assert "LeftSemi" in plan(survey.used_questionnaires(fx.questionnaires(spark, SF), refs))
 
 
-def test_small_map_is_broadcast_and_large_one_salted(spark):
+def test_small_map_is_broadcast_and_large_one_joined_without_copies(spark):
     observed, people = fx.observations(spark, SF), fx.patients(spark, SF)
     assert "BroadcastHashJoin" in plan(observation.long_observations(observed, people))
-    salted = plan(observation.long_observations(observed, people, small=False))
-    assert "__salt" in salted and "CartesianProduct" not in salted
+    large = plan(observation.long_observations(observed, people, limit=0))
+    assert "pmod" in large and "explode(sequence" not in large and "Cartesian" not in large
 
 
 @pytest.mark.parametrize("name", ["obs_long", "survey_long", "facet_triples", "metadata_violations", "folder_entries"])
