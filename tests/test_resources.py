@@ -395,7 +395,12 @@ def test_lake_files_cover_short_times(spark, tmp_path):
 
     days = [f"20{y:02d}-{m:02d}-{d:02d}" for y in range(10, 20) for m in range(1, 13) for d in (1, 11, 21)]
     docs = [obs(str(k), "Patient/a", effectiveDateTime=x) for k, x in enumerate(days)]
-    resources.write_lake(frame(spark, *docs), str(tmp_path))
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"  # so little data would be one file
+    spark.conf.set(whole, "false")
+    try:
+        resources.write_lake(frame(spark, *docs), str(tmp_path))
+    finally:
+        spark.conf.unset(whole)
     wanted = frame(spark, docs[0]).select(F.unix_micros(F.lit("2015-05-01T00:00:00Z").cast("timestamp"))).first()[0]
     read = total = 0
     for file in tmp_path.glob("resource_type=Observation/*.parquet"):
