@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks import sql
 from clinflat.operators import bundle
+from clinflat.session import table_path
+from clinflat.sources.bundles import read_entries
+from clinflat.sources.sinks import write_entries
 
 
 def bundle_entries(spark, d):
@@ -31,7 +34,8 @@ def _patient_files(spark, d):
 
 
 def _observation_files(spark, d):
-    """A file per event in its user's folder: copies, missing ids, broken and other files."""
+    """A file per event in its user's folder: copies, missing ids, broken and other files,
+    every fourth one spread over several lines."""
     e = F.col("event_id")
     rid = (
         F.when(e % 5 == 0, F.concat(F.lit("dup"), e % 50))
@@ -44,6 +48,7 @@ def _observation_files(spark, d):
         F.coalesce(F.concat(F.lit(',"id":"'), rid, F.lit('"')), F.lit("")),
         F.lit(',"status":"'), "event_type", F.lit('"}'),
     )
+    json = F.when(e % 4 == 0, F.replace(json, F.lit(',"'), F.lit(',\n  "'))).otherwise(json)
     return fx.table(spark, d, "events").select(
         F.concat(F.lit("c"), F.col("user_id")).alias("dir"),
         F.concat(F.lit("obs"), e, ext).alias("file"),
@@ -86,7 +91,15 @@ def folder_entries(spark, d):
     return bundle.folder_entries(files(spark, d))
 
 
+def entries_roundtrip(spark, d):
+    """Entries written to files and read again as resources."""
+    path = table_path(spark, "entries-roundtrip")
+    write_entries(bundle.folder_entries(files(spark, d)), path)
+    return read_entries(spark, f"{path}/entries")
+
+
 QUERIES = {
+    "entries_roundtrip": entries_roundtrip,
     "bundle_entries": bundle_entries,
     "patient_dirs": patient_dirs,
     "dir_resources": dir_resources,
@@ -103,12 +116,13 @@ _FILES = """files AS (
   FROM customer WHERE c_custkey % 3 <> 2
   UNION ALL
   SELECT dir, file, CASE WHEN event_id % 7 <> 0 AND event_id % 10 <> 1 THEN 'Observation' END, rid,
-         '{"resourceType":"Observation"' || coalesce(',"id":"' || rid || '"', '')
-         || ',"status":"' || event_type || '"}'
+         CASE WHEN event_id % 4 = 0 THEN replace(body, ',"', ',' || chr(10) || '  "') ELSE body END
   FROM (SELECT *, 'c' || user_id AS dir,
           'obs' || event_id || CASE WHEN event_id % 7 = 0 THEN '.txt' ELSE '.json' END AS file,
           CASE WHEN event_id % 5 = 0 THEN 'dup' || event_id % 50
-               WHEN event_id % 6 = 0 THEN NULL ELSE 'o' || event_id END AS rid FROM events)
+               WHEN event_id % 6 = 0 THEN NULL ELSE 'o' || event_id END AS rid,
+          '{"resourceType":"Observation"' || coalesce(',"id":"' || rid || '"', '')
+          || ',"status":"' || event_type || '"}' AS body FROM events)
   UNION ALL
   SELECT 'Questionnaire', 'q' || p_partkey || '.json', 'Questionnaire', 'q' || p_partkey % 1000,
          '{"resourceType":"Questionnaire","id":"q' || p_partkey % 1000 || '"}' FROM part),
@@ -117,7 +131,7 @@ pdirs AS (SELECT DISTINCT dir FROM files
 held AS (SELECT * FROM files WHERE resource_type IS NOT NULL
   AND (dir = 'Questionnaire' OR dir IN (SELECT dir FROM pdirs))),
 uniq AS (SELECT * FROM held QUALIFY row_number() OVER (
-  PARTITION BY resource_type, id IS NULL, coalesce(id, json)
+  PARTITION BY resource_type, id IS NULL, coalesce(id, replace(json, chr(10) || '  ', ''))
   ORDER BY dir <> 'Questionnaire', dir, file) = 1)"""
 
 _RANK = """CASE resource_type WHEN 'Patient' THEN 0 WHEN 'Observation' THEN 1
@@ -135,11 +149,13 @@ ORACLES = {
             UNION ALL SELECT 'QuestionnaireResponse', rid FROM lin
             UNION ALL SELECT 'Questionnaire', 'q' || p_partkey FROM part
             UNION ALL SELECT 'Questionnaire', 'u' || s_suppkey FROM supplier))""",
+    "entries_roundtrip": sql.with_(_FILES)
+    + "SELECT resource_type, id, replace(json, chr(10) || '  ', '') AS json FROM uniq",
     "patient_dirs": sql.with_(_FILES) + "SELECT dir FROM pdirs",
     "dir_resources": sql.with_(_FILES) + "SELECT dir, file, resource_type, id FROM held",
     "bundle_dedup": sql.with_(_FILES) + "SELECT resource_type, id, dir, file, json FROM uniq",
     "folder_entries": sql.with_(_FILES)
-    + f"""SELECT rank, resource_type, id, method, url, '{{"resource":' || json
-          || ',"request":{{"method":"' || method || '","url":"' || url || '"}}}}' AS entry
+    + f"""SELECT rank, resource_type, id, method, url, '{{"resource":'
+          || replace(json, chr(10), ' ') || ',"request":{{"method":"' || method || '","url":"' || url || '"}}}}' AS entry
         FROM (SELECT {_RANK} AS rank, resource_type, id, json, {_REQUEST} FROM uniq)""",
 }
