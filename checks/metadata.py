@@ -8,6 +8,8 @@ from checks import fixtures as fx
 from checks import sql
 from clinflat.namespaces import SKOS
 from clinflat.operators import authority, stats
+from clinflat.operators import dictionary as dic
+from clinflat.schemas import DICTIONARY_COLUMNS
 from clinflat.sources import metadata as md
 
 JOBS = ("survey", "observation")
@@ -308,7 +310,77 @@ def stats_override(spark, d):
     return _override(spark, d, "json").unionByName(_override(spark, d, "excel"))
 
 
+def _grid(spark, d, base: str, rows: int, columns: int):
+    """Job cells of a sheet of every supplier's workbook, still without values."""
+    return (
+        fx.table(spark, d, "supplier")
+        .select("s_suppkey", "s_name", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("r"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("c"))
+        .withColumns({"base": F.lit(base), "workbook": F.concat(F.lit("w"), "s_suppkey")})
+    )
+
+
+def _placed(grid, value):
+    return grid.select(
+        "workbook", F.lit("survey").alias("job"), "base", F.col("r").alias("row_idx"),
+        F.col("c").alias("col_idx"), F.expr(value).alias("value"),
+    )
+
+
+# One text for both sides: functions that Spark and DuckDB share.
+_FIELD = """CASE WHEN r = 0 THEN 'header'
+  WHEN c = 0 THEN CASE WHEN (s_suppkey + r) % 5 = 4 THEN ' ' ELSE concat(' v', r, ' ') END
+  WHEN c = 1 THEN CASE WHEN (s_suppkey + r) % 7 = 3 THEN '' ELSE concat('Name ', r, ' of ', s_name) END
+  WHEN c = 3 THEN 'string'
+  WHEN (s_suppkey + c) % 3 = 0 THEN NULL ELSE concat('c', c, ' r', r, ' ') END"""
+_CODE = """CASE WHEN c = 0 THEN CASE WHEN r = 6 THEN '' ELSE concat('v', r % 3) END
+  WHEN c = 1 THEN concat(' ', r % 2) ELSE concat('d', r, ' of ', s_name) END"""
+
+
+def dictionary_from_cells(spark, d):
+    source = _placed(_grid(spark, d, "Data Dictionary", 7, 20), _FIELD)
+    return dic.clean_dictionary(dic.dictionary_from_cells(source), "workbook", "job")
+
+
+def value_sets_from_cells(spark, d):
+    source = _placed(_grid(spark, d, "Value Sets", 9, 3), _CODE)
+    return dic.clean_value_sets(dic.value_sets_from_cells(source), "workbook", "job")
+
+
+def _described(spark, d):
+    """Records whose documents carry a dictionary of two fields and a value set."""
+    k = F.col("s_suppkey")
+    field = lambda n: F.struct(
+        F.concat(F.lit(f"v{n}"), k).alias("name"),
+        F.when(k % 4 != n, F.concat(F.lit(f"Title {n} of "), "s_name")).alias("title"),
+        F.lit("integer").alias("datatype"), F.lit(" kg ").alias("unit"),
+        k.cast("string").alias("maxValue"),
+    )
+    codes = F.create_map(F.lit("1"), F.lit("One"), F.lit(" 2"), F.concat(F.lit("Two "), "s_name"))
+    job = F.struct(
+        F.array(field(1), field(2)).alias("dataDictionary"),
+        F.create_map(F.concat(F.lit("v1"), k), codes).alias("dataDictionaryValueSets"),
+    )
+    body = F.to_json(F.struct(F.create_map(F.lit("survey"), job).alias("jobs")))
+    documents_ = fx.table(spark, d, "supplier").select(k, body.alias("value"))
+    return md.parse_documents(documents_, "value", "s_suppkey")
+
+
+def dictionary_from_json(spark, d):
+    rows = dic.dictionary_from_records(_described(spark, d), "s_suppkey")
+    return dic.clean_dictionary(rows, "s_suppkey", "job")
+
+
+def value_sets_from_json(spark, d):
+    rows = dic.value_sets_from_records(_described(spark, d), "s_suppkey")
+    return dic.clean_value_sets(rows, "s_suppkey", "job")
+
+
 QUERIES = {
+    "dictionary_from_cells": dictionary_from_cells,
+    "value_sets_from_cells": value_sets_from_cells,
+    "dictionary_from_json": dictionary_from_json,
+    "value_sets_from_json": value_sets_from_json,
     "metadata_jobs": metadata_jobs,
     "sheet_fallback": sheet_fallback,
     "metadata_sheet_pivot": metadata_sheet_pivot,
@@ -396,7 +468,41 @@ def _override_sql(mode: str) -> str:
     )
 
 
+_GRID = """grid AS (SELECT s_suppkey, s_name, r, c
+  FROM supplier, range(9) a(r), range(20) b(c))"""
+_CELLS_DICT = ", ".join(
+    f"nullif({sql.trim(f'max(CASE WHEN c = {i} THEN v END)')}, '') AS " + '"' + name + '"'
+    for i, name in enumerate(DICTIONARY_COLUMNS)
+)
+_JSON_CELLS = {
+    "Variable": "'v' || n || s_suppkey",
+    "Name": "CASE WHEN s_suppkey % 4 <> n THEN 'Title ' || n || ' of ' || s_name END",
+    "Datatype": "'integer'", "Unit": "'kg'", "Max Value": "s_suppkey::VARCHAR",
+}
+_JSON_DICT = ", ".join(
+    f"{_JSON_CELLS.get(name, 'NULL::VARCHAR')} AS " + '"' + name + '"' for name in DICTIONARY_COLUMNS
+)
+_BLANK = """CASE WHEN "Name" IS NULL THEN 'The ''Name'' field cannot be empty.' END AS error"""
+
 ORACLES = {
+    "dictionary_from_cells": sql.with_(_GRID)
+    + f"""SELECT *, {_BLANK} FROM (
+          SELECT 'w' || s_suppkey AS workbook, 'survey' AS job, {_CELLS_DICT}
+          FROM (SELECT *, {_FIELD} AS v FROM grid WHERE r BETWEEN 1 AND 6) GROUP BY s_suppkey, r)
+        WHERE "Variable" IS NOT NULL""",
+    "value_sets_from_cells": sql.with_(_GRID)
+    + f"""SELECT 'w' || s_suppkey AS workbook, 'survey' AS job, "Variable", "Code",
+            arg_max("Display", r) AS "Display" FROM (
+          SELECT s_suppkey, r, {sql.trim("max(CASE WHEN c = 0 THEN v END)")} AS "Variable",
+            {sql.trim("max(CASE WHEN c = 1 THEN v END)")} AS "Code",
+            {sql.trim("max(CASE WHEN c = 2 THEN v END)")} AS "Display"
+          FROM (SELECT *, {_CODE} AS v FROM grid WHERE r > 0 AND c < 3) GROUP BY s_suppkey, r)
+        WHERE "Variable" <> '' GROUP BY ALL""",
+    "dictionary_from_json": f"""SELECT *, {_BLANK} FROM (
+        SELECT s_suppkey, 'survey' AS job, {_JSON_DICT} FROM supplier, range(1, 3) a(n))""",
+    "value_sets_from_json": """SELECT s_suppkey, 'survey' AS job, 'v1' || s_suppkey AS "Variable",
+        n::VARCHAR AS "Code", CASE WHEN n = 1 THEN 'One' ELSE 'Two ' || s_name END AS "Display"
+        FROM supplier, range(1, 3) a(n)""",
     "metadata_jobs": """SELECT s_suppkey, job, 'Catalog ' || s_name AS catalog_title,
           s_suppkey % 4 = 0 AS existing,
           CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 3 <> 0 THEN 'http://page/pub/' || s_suppkey END AS page,

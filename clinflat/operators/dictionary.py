@@ -11,6 +11,7 @@ from clinflat.namespaces import VOCABULARY_BASE
 from clinflat.schemas import DICTIONARY_COLUMNS, VALUE_SET_COLUMNS
 
 # What is left out, how codes are written.
+DICTIONARY_SHEET, VALUE_SET_SHEET = "Data Dictionary", "Value Sets"
 SKIPPED_FORMS = ("etusivu", "suostumus")
 SKIPPED_TYPES = ("descriptive",)
 SKIPPED_NAMES = ("record_id", "kukuid")
@@ -113,7 +114,7 @@ def _dictionary(rows: DataFrame, cells: dict[str, Column]) -> DataFrame:
 def redcap_dictionary(rows: DataFrame, study: str) -> DataFrame:
     """The 20-column dictionary of a REDCap export.
 
-    The label, without markup and cut to length, else the field name, is both name
+    The label, without markup, else the field name, is both name
     and description. A section header is the group of its own row only, and makes
     the form the parent group.
     """
@@ -213,8 +214,46 @@ def kora_counts(rows: DataFrame) -> DataFrame:
     return _counts(rows, F.col("variable") != "", kora_included(), codes)
 
 
-def clean_dictionary(rows: DataFrame) -> DataFrame:
-    """Dictionary rows with a variable, cells trimmed, blank cells null.
+def _sheet_rows(cells: DataFrame, sheet: str, columns: tuple[str, ...]) -> DataFrame:
+    """``workbook, job, row_idx`` and the columns of a sheet from job cells, without the header."""
+    values = (
+        cells.where((F.col("base") == sheet) & (F.col("row_idx") > 0))
+        .groupBy("workbook", "job", "row_idx")
+        .pivot("col_idx", list(range(len(columns))))
+        .agg(F.first("value", ignorenulls=True))
+    )
+    named = [F.col(str(i)).alias(c) for i, c in enumerate(columns)]
+    return values.select("workbook", "job", "row_idx", *named)
+
+
+def dictionary_from_cells(cells: DataFrame) -> DataFrame:
+    """Dictionary rows of each job's ``Data Dictionary`` sheet, for ``clean_dictionary``."""
+    return _sheet_rows(cells, DICTIONARY_SHEET, DICTIONARY_COLUMNS)
+
+
+def value_sets_from_cells(cells: DataFrame) -> DataFrame:
+    """Value-set rows of each job's ``Value Sets`` sheet, for ``clean_value_sets``."""
+    return _sheet_rows(cells, VALUE_SET_SHEET, VALUE_SET_COLUMNS)
+
+
+def dictionary_from_records(records: DataFrame, *keys: str) -> DataFrame:
+    """Dictionary rows of metadata records: ``keys``, ``job``, ``row_idx`` and the columns."""
+    fields = records.select(*keys, "job", F.posexplode("dataDictionary").alias("row_idx", "f"))
+    named = zip(DICTIONARY_COLUMNS, fields.schema["f"].dataType.names)
+    return fields.select(*keys, "job", "row_idx", *[F.col("f")[n].alias(c) for c, n in named])
+
+
+def value_sets_from_records(records: DataFrame, *keys: str) -> DataFrame:
+    """Value-set rows of metadata records; a code stands once, so the row does not matter."""
+    sets = F.explode("dataDictionaryValueSets").alias("Variable", "codes")
+    rows = records.select(*keys, "job", sets)
+    return rows.select(
+        *keys, "job", F.lit(0).alias("row_idx"), "Variable", F.explode("codes").alias("Code", "Display")
+    )
+
+
+def clean_dictionary(rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and dictionary rows with a variable, cells trimmed, blank cells null.
 
     ``error`` names the first required cell that is blank; the last row counts
     like any other.
@@ -224,19 +263,19 @@ def clean_dictionary(rows: DataFrame) -> DataFrame:
         message = f"The '{column}' field cannot be empty."
         error = F.when(F.col(column).isNull(), F.lit(message)).otherwise(error)
     return (
-        rows.select(*[blank_to_null(F.col(c)).alias(c) for c in DICTIONARY_COLUMNS])
+        rows.select(*keys, *[blank_to_null(F.col(c)).alias(c) for c in DICTIONARY_COLUMNS])
         .where(F.col("Variable").isNotNull())
         .withColumn("error", error)
     )
 
 
-def clean_value_sets(rows: DataFrame) -> DataFrame:
-    """One display per variable and code, the last by ``row_idx``."""
+def clean_value_sets(rows: DataFrame, *keys: str) -> DataFrame:
+    """One display per ``keys``, variable and code, the last by ``row_idx``."""
     trimmed = rows.select(
-        "row_idx", *[trim_cell(F.col(c)).alias(c) for c in VALUE_SET_COLUMNS]
+        *keys, "row_idx", *[trim_cell(F.col(c)).alias(c) for c in VALUE_SET_COLUMNS]
     )
     return (
         trimmed.where((F.col("Variable") != "") & (F.col("Code") != ""))
-        .groupBy("Variable", "Code")
+        .groupBy(*keys, "Variable", "Code")
         .agg(F.max_by("Display", "row_idx").alias("Display"))
     )

@@ -25,6 +25,7 @@ from clinflat.operators import (
     triples,
     vocab,
 )
+from clinflat.operators import dictionary as dictionaries
 from clinflat.operators.window import Window
 from clinflat.session import stage
 from clinflat.sources import resources as scans
@@ -135,13 +136,9 @@ def extract(job: str, inputs: Inputs, reference_year: int) -> Extraction:
 
 
 def with_statistics(
-    records: DataFrame, extractions: list[Extraction], run: str, mode: str
+    records: DataFrame, per_job: DataFrame, run: str, mode: str
 ) -> DataFrame:
     """Records with addresses, final statistics per job and dates over all jobs."""
-    per_job = reduce(
-        lambda a, b: a.unionByName(b),
-        [e.stats.withColumn("job", F.lit(e.job)) for e in extractions],
-    )
     overall = stats.merge_stats(per_job).select(
         F.lit(run).alias("run"), F.col("start_date").alias("all_start"),
         F.col("end_date").alias("all_end"),
@@ -219,7 +216,11 @@ def run_jobs(
     extractions = [extract(j, inputs, reference_year) for j in jobs if j != "bundle"]
     if not extractions:
         return
-    described = stage(with_statistics(records, extractions, run, mode), "records")
+    per_job = reduce(
+        lambda a, b: a.unionByName(b),
+        [e.stats.withColumn("job", F.lit(e.job)) for e in extractions],
+    )
+    described = stage(with_statistics(records, per_job, run, mode), "records")
     for e in extractions:
         folder = f"{output}/{FOLDERS[e.job]}"
         record = described.where(F.col("job") == e.job)
@@ -239,14 +240,55 @@ def run_jobs(
             write_ntriples(graph, f"{folder}/rdf/{name}")
 
 
+def run_metadata(records: DataFrame, output: str, run: str) -> None:
+    """Write the four graphs of each record without any resources.
+
+    Statistics are the configured ones; the schema graph describes the record's own data
+    dictionary and value sets. Stops if a required dictionary cell is blank.
+    """
+    none = {"record_count": "long", "unique_patients": "long", "min_age": "int", "max_age": "int"}
+    dates = {"start_date": "string", "end_date": "string"}
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in (none | dates).items()]
+    described = stage(
+        with_statistics(records, records.select("job", *nulls), run, "excel"), "records"
+    )
+    places = described.select(
+        "job", F.col("csvw_uri").alias("subject"), F.col("distribution_uri").alias("parent")
+    )
+    graphs = {
+        "Catalog": record_triples.catalog_triples(described),
+        "Dataset": record_triples.dataset_triples(described, None),
+        "Distribution": record_triples.distribution_triples(described),
+        "CSVW": dictionary_graph(
+            dictionaries.dictionary_from_records(records).join(places, "job"),
+            dictionaries.value_sets_from_records(records),
+        ),
+    }
+    for name, graph in graphs.items():
+        write_ntriples(graph, f"{output}/{name}")
+
+
+def dictionary_graph(dictionary: DataFrame, value_sets: DataFrame) -> DataFrame:
+    """Schema, facets and value sets of dictionary rows with ``subject`` and ``parent``.
+
+    Blank required cells stop the job, with the first ten messages.
+    """
+    clean = dictionaries.clean_dictionary(dictionary, "subject", "parent")
+    wrong = clean.where(F.col("error").isNotNull()).select("Variable", "error").limit(10).collect()
+    if wrong:
+        raise ValueError("; ".join(f"{r['Variable']}: {r['error']}" for r in wrong))
+    placed = clean.drop("error").na.fill("", subset=list(schemas.DICTIONARY_COLUMNS))
+    return triples.as_graph(
+        schema_triples.dictionary_triples(placed),
+        schema_triples.facet_triples(placed),
+        schema_triples.value_set_triples(dictionaries.clean_value_sets(value_sets)),
+    )
+
+
 def run_dictionary(
     dictionary: DataFrame, value_sets: DataFrame, output: str, subject: str, parent: str = ""
 ) -> None:
     """Describe a data dictionary without any resources: schema, facets, value sets."""
     placed = dictionary.withColumn("subject", F.lit(subject)).withColumn("parent", F.lit(parent))
-    graph = triples.as_graph(
-        schema_triples.dictionary_triples(placed),
-        schema_triples.facet_triples(placed),
-        schema_triples.value_set_triples(value_sets),
-    )
-    write_ntriples(graph, output)
+    ordered = value_sets if "row_idx" in value_sets.columns else value_sets.withColumn("row_idx", F.lit(0))
+    write_ntriples(dictionary_graph(placed, ordered), output)

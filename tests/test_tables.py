@@ -113,6 +113,49 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert spark.read.text(f"{out}/bundle_extraction/entries").count() == 4
 
 
+def test_jobs_stop_on_unknown_and_undescribed(spark, tmp_path):
+    import pytest
+
+    resources = frame(spark, patient("a"))
+    records = spark.createDataFrame([("full",)], "job string")
+    for names, message in ((["nope"], "unknown jobs: nope"), (["survey"], "No metadata found")):
+        with pytest.raises(ValueError, match=message):
+            jobs.run_jobs(spark, resources, records, str(tmp_path / "o"), names, 2026, "run")
+
+
+def test_metadata_job(spark, tmp_path):
+    import pytest
+
+    field = {"name": "v", "title": "Weight " * 400, "datatype": "decimal", "unit": "kg"}
+    job = {"dataset": {"title": "D", "numRecords": 7}, "distribution": {"title": "X"},
+           "dataDictionary": [field], "dataDictionaryValueSets": {"v": {"1": "One"}}}
+    def records(name, job):
+        (tmp_path / name).write_text(json.dumps({"catalog": {"title": "C"}, "jobs": {"survey": job}}))
+        return metadata.read_documents(spark, str(tmp_path / name))
+
+    out = str(tmp_path / "out")
+    jobs.run_metadata(records("a.json", job), out, "run")
+    text = {g: "\n".join(r[0] for r in spark.read.text(f"{out}/{g}").collect())
+            for g in ("Catalog", "Dataset", "Distribution", "CSVW")}
+    assert 'numberOfRecords> "7"' in text["Dataset"] and '"C"' in text["Catalog"]
+    assert '"One"@en' in text["CSVW"] and ("Weight " * 400).strip() in text["CSVW"]
+    field["datatype"] = " "
+    with pytest.raises(ValueError, match="'Datatype' field cannot be empty"):
+        jobs.run_metadata(records("b.json", job), str(tmp_path / "no"), "run")
+
+
+def test_dictionary_files_with_different_headers(spark, tmp_path):
+    import pytest
+
+    from clinflat.sources import dictionary as src
+
+    for name, text in (("a.csv", "A,B\n1,2\n"), ("b.csv", "B,A\n3,4\n")):
+        (tmp_path / name).write_text(text)
+    with pytest.raises(ValueError, match="different header rows"):
+        src.read_dictionary_csv(spark, str(tmp_path))
+    assert src.read_dictionary_csv(spark, str(tmp_path / "b.csv")).first().asDict() == {"B": "3", "A": "4"}
+
+
 def test_dictionary_job(spark, tmp_path):
     redcap = spark.createDataFrame(
         [tuple("v form  radio Label 1,a|2,b".replace("  ", " - ").split(" ")[i] if i < 6 else "" for i in range(13))],
