@@ -239,7 +239,8 @@ def value_sets_from_cells(cells: DataFrame) -> DataFrame:
 def dictionary_from_records(records: DataFrame, *keys: str) -> DataFrame:
     """Dictionary rows of metadata records: ``keys``, ``job``, ``row_idx`` and the columns."""
     fields = records.select(*keys, "job", F.posexplode("dataDictionary").alias("row_idx", "f"))
-    named = zip(DICTIONARY_COLUMNS, fields.schema["f"].dataType.names)
+    rest = fields.schema["f"].dataType.names[4:]
+    named = zip(DICTIONARY_COLUMNS, ("name", "title", "description", "datatype", *rest))
     return fields.select(*keys, "job", "row_idx", *[F.col("f")[n].alias(c) for c, n in named])
 
 
