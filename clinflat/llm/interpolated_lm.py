@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from clinflat.llm.packing import pack, unpack
 from clinflat.llm.texts import words_of
 from clinflat.session import stage
 
@@ -43,18 +44,6 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(b)) for b in (b"\n", b"\r"))  # no word has these
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """Unsigned integers compressed by byte planes, as their high bytes are alike."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unpack(data: bytes, n: int, kind: type) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
-
-
 def _blocks(kind: pa.DataType) -> pa.Schema:
     return pa.schema(
         [("block", pa.int64()), ("ids", pa.list_(kind)), ("folds", pa.list_(pa.int32())),
@@ -150,7 +139,7 @@ def _ask(parts: int, schema: pa.Schema):
                     for part, (s, e) in enumerate(zip(cut, cut[1:])):
                         if e > s:
                             steps = np.diff(keys[s:e], prepend=np.uint64(0))
-                            packed = _pack(steps), _pack(kept[s:e]), _pack(held[s:e])
+                            packed = pack(steps), pack(kept[s:e]), pack(held[s:e])
                             rows.append((level, part, b, e - s, *packed))
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -162,12 +151,12 @@ def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     """Counts over all blocks of one range of keys, in the order of each block's keys."""
     asked = asked.sort_values("block")
     n = asked["n"].to_numpy()
-    keys = [np.cumsum(_unpack(k, m, np.uint64)) for k, m in zip(asked["keys"], n)]
+    keys = [np.cumsum(unpack(k, m, np.uint64)) for k, m in zip(asked["keys"], n)]
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     kept, held = (
         np.bincount(
             place,
-            np.concatenate([_unpack(x, m, np.uint32) for x, m in zip(asked[c], n)]),
+            np.concatenate([unpack(x, m, np.uint32) for x, m in zip(asked[c], n)]),
             len(distinct),
         ).astype(np.uint64)
         for c in ("kept", "held")
@@ -175,7 +164,7 @@ def _answer(asked: pd.DataFrame) -> pd.DataFrame:
     total = kept + held
     ends = np.cumsum(n)
     replies = [
-        (_pack(kept[place[e - m : e]]), _pack(total[place[e - m : e]])) for e, m in zip(ends, n)
+        (pack(kept[place[e - m : e]]), pack(total[place[e - m : e]])) for e, m in zip(ends, n)
     ]
     word = distinct != BEGIN
     sums = (kept[word].sum(), total[word].sum(), (kept[word] > 0).sum(), (total[word] > 0).sum())
@@ -193,7 +182,7 @@ def _looked_up(folds: list, data: bytes, replies: list[dict], column: str):
     found = []
     for level, (keys, _, _) in enumerate(tokens.keys()):
         own = sorted((r for r in replies if r["level"] == level), key=lambda r: r["part"])
-        counts = np.concatenate([_unpack(r[column], r["n"], np.uint64) for r in own])
+        counts = np.concatenate([unpack(r[column], r["n"], np.uint64) for r in own])
         found.append((keys, counts.astype(np.int64)))
     (words, of_word), (pairs, of_pair) = found
     at = lambda keys, counts, wanted: counts[np.searchsorted(keys, wanted)]
