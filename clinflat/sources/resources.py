@@ -90,7 +90,10 @@ def write_lake(resources: DataFrame, path: str) -> None:
     are read as plain columns instead of from the JSON again.
     """
     order = ("resource_type", "date_lo", F.xxhash64("id"))
-    placed = with_promoted(resources).repartitionByRange(*order).sortWithinPartitions(*order)
+    # several ranges for each task of a shuffle, so that rare types are spread as well
+    parts = 8 * int(resources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = with_promoted(resources).repartitionByRange(parts, *order)
+    placed = ranged.sortWithinPartitions(*order)
     placed.write.mode("overwrite").partitionBy("resource_type").parquet(path)
 
 
