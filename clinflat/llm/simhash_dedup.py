@@ -32,8 +32,8 @@ from clinflat.session import stage
 BITS = 64
 STEP = 4  # bits by which node pairs are deepened as tables
 MAX_NODES = 40_000  # fingerprints of a node pair that one task takes
-LEAF = 64  # fingerprint pairs that are compared directly
-BLOCK = 1 << 18  # node pairs or shingles handled at once in a task
+LEAF = 32  # fingerprint pairs that are compared directly
+BLOCK = 1 << 15  # node pairs or shingles handled at once in a task
 
 
 def fingerprint(text: str | None, width: int = 3, words: int = 1) -> bytes:
