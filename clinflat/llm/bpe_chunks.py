@@ -173,9 +173,11 @@ def encode_documents(
     kind = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        # a worker process keeps its copy of a broadcast, and with it the loaded tokenizer
+        if not hasattr(sent, "encoder"):
+            sent.encoder = Encoder(sent.value)
+        encoder = sent.encoder
         for batch in batches:
-            encoder = encoder or Encoder(sent.value)
             for s in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(s, OUT_ROWS)
                 rows = []
