@@ -54,19 +54,21 @@ def _blocks(kind: pa.DataType) -> pa.Schema:
 def _to_blocks(schema: pa.Schema, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, number = TaskContext.get().partitionId(), 0
-        ids, folds, lines, size = [], [], [], 0
+        # held-back documents have blocks of their own, so that learning reads no others
+        open_ = {True: [], False: []}
+        size = {True: 0, False: 0}
         for batch in batches:
             for doc_id, text, fold in zip(*(c.to_pylist() for c in batch.columns)):
-                line = b" ".join(words_of(text))
-                ids.append(doc_id)
-                folds.append(fold)
-                lines.append(line)
-                size += len(line)
-                if size >= block_bytes:
-                    yield block(place, number, ids, folds, lines)
-                    number, ids, folds, lines, size = number + 1, [], [], [], 0
-        if ids:
-            yield block(place, number, ids, folds, lines)
+                line, kind = b" ".join(words_of(text)), fold == HELD_FOLD
+                open_[kind].append((doc_id, fold, line))
+                size[kind] += len(line)
+                if size[kind] >= block_bytes:
+                    yield block(place, number, *zip(*open_[kind]))
+                    number, open_[kind], size[kind] = number + 1, [], 0
+        for rows in open_.values():
+            if rows:
+                yield block(place, number, *zip(*rows))
+                number += 1
 
     def block(place, number, ids, folds, lines):
         data = zstandard.ZstdCompressor(level=1).compress(b"\n".join(lines))
