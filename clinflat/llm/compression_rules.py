@@ -1,9 +1,11 @@
 """Quality rules: word, symbol and repetition counts, and bands of zstandard ratios.
 
 Repetitive text compresses far better than prose, incompressible text far worse. The
-ratio of compressed to plain bytes is taken of the whole document and of every full
-chunk of it, and held against limits that depend on the length: short texts always
-compress badly, long ones always well.
+ratio of compressed to plain bytes is taken of the whole document and of every chunk of
+it, and held against limits that depend on the length: short texts always compress badly,
+long ones always well. The last chunk is as long as the others: it ends with the text and
+overlaps the one before. A text shorter than a chunk is its own only chunk, which the
+whole text's ratio has judged.
 """
 
 from __future__ import annotations
@@ -77,12 +79,14 @@ def duplicate_lines(data: bytes) -> int:
 
 
 def compression(data: bytes, chunk_bytes: int = CHUNK_BYTES) -> tuple[float | None, int, int]:
-    """Ratio of the whole text (None if empty), chunks outside their band, full chunks."""
+    """Ratio of the whole text (None if empty), chunks outside their band, chunks."""
     if not data:
         return None, 0, 0
     zstd = zstandard.ZstdCompressor(level=LEVEL)
     whole = len(zstd.compress(data)) / len(data)
-    starts = range(0, len(data) - chunk_bytes + 1, chunk_bytes)
+    starts = [*range(0, len(data) - chunk_bytes + 1, chunk_bytes)]
+    if starts and len(data) % chunk_bytes:
+        starts.append(len(data) - chunk_bytes)
     ratios = [len(zstd.compress(data[s : s + chunk_bytes])) / chunk_bytes for s in starts]
     bad = sum(not CHUNK_BAND.least <= r <= CHUNK_BAND.most for r in ratios)
     return whole, bad, len(ratios)

@@ -43,6 +43,19 @@ def test_bands():
     assert not R.in_band(100_000, 0.4, 7, 24) and R.in_band(100_000, 0.4, 6, 24)
 
 
+def test_junk_is_found_wherever_it_stands():
+    junk = "=" * 3900
+    for k in range(5):
+        text = helpers.prose(40 + k, 2000).replace("é", "e")[:4140]
+        assert R.judge_text(text)[-1]
+        for whole in (f"{text} {junk}", f"{junk} {text}"):
+            *_, bad, chunks, kept = R.judge_text(whole)
+            assert bad >= 1 and chunks == 2 and not kept
+    even = helpers.prose(46, 2000).encode()[:8192]
+    assert R.compression(even)[1:] == (0, 2) and R.compression(even + b"x")[2] == 3
+    assert R.compression(even[:4095])[2] == 0
+
+
 def test_awkward_tables(spark):
     docs = helpers.awkward_rows(spark)
     judged = R.judge(docs)
