@@ -1,7 +1,9 @@
 """Benchmark decontamination: SimHash of item-sized windows, then exact similarity.
 
-Windows of an item's length are taken at every place that shares a shingle with the item;
-any other window has similarity zero. Windows and items get SimHash fingerprints. Each
+Windows of an item's length are taken wherever enough places of the text share a shingle
+with the item, in any order: a window and an item with n and m shingles that are t alike
+have at least t (n + m) / (1 + t) such places, so no similar window is left out. Windows
+and items get SimHash fingerprints. Each
 fingerprint is cut into BLOCKS blocks of 8 bits; two that differ in at most RADIUS =
 2 * BLOCKS - 1 bits have a block that differs in at most one bit, so looking each block of
 a window up with none or one of its bits flipped finds every item within the radius. The
@@ -80,6 +82,26 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     ).dropDuplicates(["item", "item_id"])
 
 
+def _starts(share: Column, low: Column, high: Column | None = None) -> Column:
+    """Window starts from ``low`` to ``high`` with ``share * n_i`` or more of the ``places`` inside.
+
+    ``places`` is sorted: with k of them needed, the windows that hold the q-th and the k - 1
+    after it are those from the last one's first window to the q-th place itself.
+    """
+    needed = F.greatest(F.ceil(share * F.col("n_i") - F.lit(1e-9)).cast("int"), F.lit(1))
+    none = F.array().cast("array<int>")
+
+    def run(q: Column) -> Column:
+        first = F.get("places", q + needed - 1) - (F.col("n_words") - F.col("width"))
+        first, last = F.greatest(first, low), F.get("places", q)
+        last = last if high is None else F.least(last, high)
+        return F.when(first <= last, F.sequence(first, last)).otherwise(none)
+
+    last = F.size("places") - needed
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), run)
+    return F.when(last >= 0, F.array_distinct(F.flatten(runs))).otherwise(none)
+
+
 def _counts(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, F.explode("hashes").alias("hash")).groupBy(*keys, "hash").count()
 
@@ -106,26 +128,37 @@ def matches(
     )
     tokens = whole.select("h1", "h2", words(F.col("text")).alias("tokens"))
     lookup = items.select(
-        "item", "n_words", "width", F.posexplode("hashes").alias("at", "hash")
+        "item", "n_words", "width", F.size("hashes").alias("n_i"),
+        F.explode(F.array_distinct("hashes")).alias("hash"),
     )
     if is_small(lookup):
         lookup = F.broadcast(lookup)
     anchored = []
     for width in widths:
         found = tokens.select(
-            "h1", "h2", F.posexplode(shingle_hashes(F.col("tokens"), width)).alias("pos", "hash")
+            "h1", "h2", F.size("tokens").alias("n_tokens"),
+            F.posexplode(shingle_hashes(F.col("tokens"), width)).alias("pos", "hash"),
         )
         anchored.append(
             found.join(lookup.where(F.col("width") == width), "hash").select(
-                "h1", "h2", "item", "n_words", "width",
-                F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"),
+                "h1", "h2", "item", "n_words", "width", "n_i", "n_tokens", "pos"
             )
         )
     if not anchored:
         anchored = [tokens.limit(0).select(
             "h1", "h2", *[F.lit(0).cast(t).alias(n) for n, t in (
-                ("item", "long"), ("n_words", "int"), ("width", "int"), ("start", "int"))])]
-    starts = reduce(DataFrame.unionByName, anchored).distinct()
+                ("item", "long"), ("n_words", "int"), ("width", "int"), ("n_i", "int"),
+                ("n_tokens", "int"), ("pos", "int"))])]
+    pairs = reduce(DataFrame.unionByName, anchored).groupBy(
+        "h1", "h2", "item", "n_words", "width", "n_i", "n_tokens"
+    ).agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    # a window has as many shingles as the item, but for those that the text's end cuts short
+    whole_end = F.col("n_tokens") - F.col("n_words")
+    cut = _starts(F.lit(similarity), F.greatest(whole_end + 1, F.lit(0)))
+    full = _starts(F.lit(2 * similarity / (1 + similarity)), F.lit(0), whole_end)
+    starts = pairs.select(
+        "h1", "h2", "item", "n_words", "width", F.explode(F.concat(full, cut)).alias("start")
+    )
     asked = starts.groupBy("h1", "h2").agg(
         F.collect_list(F.struct("item", "n_words", "width", "start")).alias("asked")
     )

@@ -73,6 +73,25 @@ def test_against_all_windows(spark):
         assert r["distance"] <= D.RADIUS and r["n_windows"] >= 1
 
 
+def test_reordered_passages(spark):
+    items, texts = [helpers.prose(900 + n, n) for n in (40, 50, 58, 80)], []
+    for k, item in enumerate(items):
+        half = item.split()[len(item.split()) // 2 :] + item.split()[: len(item.split()) // 2]
+        filler = helpers.prose(1950 + k, 60)
+        texts += [f"{filler} {' '.join(half)}", f"{filler} {' '.join(half)} {filler}", " ".join(half)]
+    want = plain(list(enumerate(texts)), list(enumerate(items)))
+    assert len(want) == 12
+    rows = D.matches(helpers.documents(spark, texts), bench(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == {
+        k: round(v, 9) for k, v in want.items()
+    }
+    for r in rows:  # every window that reaches it is counted
+        tokens, item = words(texts[r["doc_id"]]), words(items[r["item_id"]])
+        last = max(len(tokens) - 5, 0)
+        near = [similarity(tokens[s : s + len(item)], item) >= 0.8 for s in range(last + 1)]
+        assert 1 <= r["n_windows"] <= sum(near)
+
+
 def test_blocks_find_all_within_the_radius(spark):
     import random
 
