@@ -64,7 +64,7 @@ def test_close_pairs_in_both_tries(depth, radius):
         tops = sorted(nodes)
         for x in tops:
             for y in tops:
-                if x > y or (same and depth == 0 and x != y):
+                if x > y:
                     continue
                 a, b = (np.array(nodes[t], np.uint64) for t in (x, y))
                 for i, j in S.close_pairs(a, b, x == y, depth, radius):
