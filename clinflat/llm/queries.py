@@ -10,6 +10,7 @@ from clinflat.llm import (
     compression_rules,
     decontamination,
     feistel_shards,
+    hard_negatives,
     interpolated_lm,
     license_scan,
     oracles,
@@ -159,6 +160,12 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("record_id", "canonical_url", "ts", "state", "refers_to", lines)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_url_filter": op2_url_filter,
@@ -170,6 +177,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_revisits": op10_revisits,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
@@ -177,4 +185,5 @@ ORACLES = {
     "op7_suffix_array": oracles.SUFFIX_ARRAY,
     "op9_sharding": oracles.SHARDING,
     "op10_revisits": oracles.REVISITS,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }

@@ -7,30 +7,22 @@ fingerprints within ``radius`` bits differ in at most ``radius // 2`` bits of on
 so while the first half is read the budget is only that, in either trie; every link is
 found in at least one of them. The top of the trie is walked as tables of node pairs,
 until a pair is small enough for one task; the task walks the rest on sorted arrays.
-
-A fingerprint may have several words of 64 bits. Each word then has its two tries, which
-makes it likelier that a pair is close in one of them; such a pair is only a candidate.
-It counts as a link if the Jaccard similarity of the two shingle sets themselves is at
-least ``similarity``. Not all candidates of a group are compared: first a spanning forest
-of them, then, where a comparison failed, all that join different groups of links.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
-from math import acos, pi
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinflat.llm.components import connected
 from clinflat.llm.texts import map_rows, row_key, words_of
-from clinflat.session import is_small, stage
+from clinflat.session import stage
 
 BITS = 64
 STEP = 4  # bits by which node pairs are deepened as tables
@@ -59,67 +51,27 @@ def shingles(text: str | None, width: int) -> Iterator[np.ndarray]:
         yield np.array([digest(joined[s:e], 42) for s, e in spans[k : k + BLOCK]], np.uint64)
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """The different hashes of a text's shingles, sorted."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(text, width)]))
-
-
-def fingerprint(text: str | None, width: int = 3, words: int = 1) -> bytes:
-    """SimHash of a text's ``width``-word shingles, 8 bytes for each of ``words``.
+def fingerprint(text: str | None, width: int = 3) -> bytes:
+    """SimHash of a text's ``width``-word shingles, 8 bytes.
 
-    Shingles count as often as they stand; without any word the fingerprint is zero. The
-    first word comes from the shingles' XXH64, the others from that hash mixed anew.
+    Shingles count as often as they stand; without any word the fingerprint is zero.
     """
-    return _simhash(shingles(text, width), words)
-
-
-def _simhash(blocks: Iterable[np.ndarray], words: int) -> bytes:
-    ones, n = np.zeros(BITS * words, np.int64), 0
-    for h in blocks:
+    ones, n = np.zeros(BITS, np.int64), 0
+    for h in shingles(text, width):
         n += len(h)
-        for w in range(words):
-            bits = np.unpackbits(_mixed(h, w).astype(">u8").view(np.uint8)).reshape(-1, BITS)
-            ones[BITS * w : BITS * (w + 1)] += bits.sum(axis=0, dtype=np.int64)
+        bits = np.unpackbits(h.astype(">u8").view(np.uint8)).reshape(-1, BITS)
+        ones += bits.sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > n).tobytes()
 
 
-def signature(text: str | None, width: int, words: int) -> tuple[bytes, int, int]:
-    """Fingerprint, a hash of the shingle set that stands for it, and the set's size."""
-    blocks = list(shingles(text, width))
-    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *blocks]))
-    name = xxhash.xxh64_digest(distinct.tobytes())
-    return _simhash(blocks, words), int.from_bytes(name, "big", signed=True), len(distinct)
-
-
-def _mixed(h: np.ndarray, word: int) -> np.ndarray:
-    """The hashes for one word of the fingerprint: the first as they are, others mixed."""
-    if not word:
-        return h
-    h = h + np.uint64(word * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def bits_at(similarity: float, bits: int) -> int:
-    """Differing bits to expect of two shingle sets with that Jaccard similarity."""
-    return int(bits * acos(2 * similarity / (1 + similarity)) / pi)
-
-
 def fingerprints(
-    docs: DataFrame, width: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's bytes) and a row key, row by row; with several
-    words also ``node_id`` and ``n_set``, the shingle set's name and size."""
+    """``doc_id``, ``fp`` (the fingerprint's bytes) and a row key, row by row."""
     kind = docs.schema[id_col].dataType.simpleString()
     doc, text = docs[id_col], docs[text_col]
     rows, schema = docs.select(doc, text, *row_key(doc, text)), f"doc_id {kind}, h1 long, h2 long, fp binary"
-    if words == 1:
-        return map_rows(rows, lambda i, t, *h: (i, *h, fingerprint(t, width)), schema)
-    return map_rows(
-        rows, lambda i, t, *h: (i, *h, *signature(t, width, words)),
-        f"{schema}, node_id long, n_set int",
-    )
+    return map_rows(rows, lambda i, t, *h: (i, *h, fingerprint(t, width)), schema)
 
 
 def _budget(depth: int, radius: int) -> int:
@@ -131,36 +83,31 @@ def _prefix(key: Column, depth: int) -> Column:
     return F.shiftrightunsigned(key, BITS - depth) if depth else F.lit(0).cast("long")
 
 
-def _word(fp: Column, k: int) -> Column:
-    """The k-th word of a fingerprint as a long with the same bits."""
-    return F.conv(F.hex(F.substring(fp, 8 * k + 1, 8)), 16, -10).cast("long")
+def _word(fp: Column) -> Column:
+    """A fingerprint as a long with the same bits."""
+    return F.conv(F.hex(fp), 16, -10).cast("long")
 
 
-def _nodes(distinct: DataFrame, words: int) -> DataFrame:
-    """Each fingerprint once in every trie: two for each of its words; columns but ``fp`` stay."""
-    tries = []
-    for k in range(words):
-        key = _word(F.col("fp"), k)
-        swapped = F.shiftleft(key, 32).bitwiseOR(F.shiftrightunsigned(key, 32))
-        for trie, kept in ((2 * k, key), (2 * k + 1, swapped)):
-            tries.append(F.struct(F.lit(trie).alias("trie"), kept.alias("key")))
-    return distinct.select(*[c for c in distinct.columns if c != "fp"], F.inline(F.array(*tries)))
+def _nodes(distinct: DataFrame) -> DataFrame:
+    """Each fingerprint once in both tries."""
+    key = _word(F.col("fp"))
+    swapped = F.shiftleft(key, 32).bitwiseOR(F.shiftrightunsigned(key, 32))
+    tries = [F.struct(F.lit(t).alias("trie"), k.alias("key")) for t, k in enumerate((key, swapped))]
+    return distinct.select("node_id", F.inline(F.array(*tries)))
 
 
-def _ready_members(
-    nodes: DataFrame, words: int, radius: int, max_nodes: int
-) -> list[DataFrame]:
+def _ready_members(nodes: DataFrame, radius: int, max_nodes: int) -> list[DataFrame]:
     """Fingerprints dealt out to the node pairs that are small enough for one task.
 
     Node pairs grow with the number of nodes, not of fingerprint pairs. At full depth a
     node is one fingerprint, so the walk ends for every ``max_nodes`` of 2 or more.
     """
     spark = nodes.sparkSession
-    frontier = spark.range(2 * words).select(
+    frontier = spark.range(2).select(
         F.col("id").cast("int").alias("trie"), F.lit(0).cast("long").alias("a"),
         F.lit(0).cast("long").alias("b"),
     )
-    members, carried = [], [c for c in nodes.columns if c != "trie"]
+    members = []
     for depth in range(0, BITS + 1, STEP):
         sizes = nodes.groupBy("trie", _prefix(F.col("key"), depth).alias("node")).count()
         a = sizes.select("trie", F.col("node").alias("a"), F.col("count").alias("n_a"))
@@ -181,12 +128,12 @@ def _ready_members(
         sized = stage(sized.select("trie", "a", "b", "n_a", "n_b"), "trie-pairs")
         small = F.col("n_a") + F.col("n_b") <= max_nodes
         ready, frontier = sized.where(small), sized.where(~small)
-        own = nodes.select("trie", _prefix(F.col("key"), depth).alias("node"), *carried)
+        own = nodes.select("trie", _prefix(F.col("key"), depth).alias("node"), "key", "node_id")
         for side, node in enumerate("ab"):
             pairs = ready if side == 0 else ready.where("a != b")
             on = ["trie", "node"]
             dealt = pairs.select("trie", F.col(node).alias("node"), "a", "b").join(own, on)
-            columns = "trie", F.lit(depth).alias("depth"), "a", "b", *carried
+            columns = "trie", F.lit(depth).alias("depth"), "a", "b", "key", "node_id"
             members.append(dealt.select(*columns))
         if frontier.isEmpty():
             return members
@@ -274,20 +221,6 @@ class Forest:
             low, high = np.minimum(a, b)[open_], np.maximum(a, b)[open_]
             np.minimum.at(self.parent, high, low)
 
-    def joining(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Places of pairs, early ones first, that make one tree of all that the pairs join."""
-        picked, left = [np.zeros(0, np.int64)], np.arange(len(i))
-        while True:
-            root = self.roots()
-            a, b = root[i[left]], root[j[left]]
-            left, a, b = (x[a != b] for x in (left, a, b))
-            if not len(left):
-                return np.concatenate(picked)
-            # each root is hung on a smaller one once, so there are no circles
-            high, first = np.unique(np.maximum(a, b), return_index=True)
-            self.parent[high] = np.minimum(a, b)[first]
-            picked.append(left[first])
-
 
 def _close_rows(
     key: tuple, rows: pd.DataFrame, radius: int
@@ -319,42 +252,6 @@ def _walk(radius: int) -> Callable:
     return run
 
 
-def _candidates(radius: int, similarity: float, spanning: bool) -> Callable:
-    """Pairs within the radius that join different ``label``s: all, or a spanning forest.
-
-    A pair whose sets are too different in size to be ``similarity`` alike is none.
-    """
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows, found = _close_rows(key, rows, radius)
-        ids, size = rows["node_id"].to_numpy(), rows["n_set"].to_numpy()
-        names, label = np.unique(rows["label"].to_numpy(), return_inverse=True)
-        keys, forest = rows["key"].to_numpy(), Forest(len(names))
-        out = [(np.zeros(0, np.int64),) * 2]
-        for i, j in found:
-            fits = np.minimum(size[i], size[j]) / np.maximum(np.maximum(size[i], size[j]), 1)
-            kept = (fits >= similarity) & (label[i] != label[j])
-            i, j = i[kept], j[kept]
-            if spanning:
-                order = np.argsort(np.bitwise_count(keys[i] ^ keys[j]), kind="stable")
-                i, j = i[order], j[order]
-                kept = forest.joining(label[i], label[j])
-                i, j = i[kept], j[kept]
-            out.append((ids[i], ids[j]))
-        u, v = (np.concatenate(x) for x in zip(*out))
-        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
-
-    return run
-
-
-def _node_pairs(
-    distinct: DataFrame, walk: Callable, words: int, radius: int, max_nodes: int
-) -> DataFrame:
-    members = _ready_members(_nodes(distinct, words), words, radius, max_nodes)
-    dealt = reduce(DataFrame.unionByName, members).groupBy("trie", "depth", "a", "b")
-    return dealt.applyInPandas(walk, "u long, v long")
-
-
 def links(distinct: DataFrame, radius: int = 3, max_nodes: int = MAX_NODES) -> DataFrame:
     """Pairs (u, v) of ``node_id`` whose components are those of all links.
 
@@ -362,109 +259,43 @@ def links(distinct: DataFrame, radius: int = 3, max_nodes: int = MAX_NODES) -> D
     at most one partner per node pair, so large groups of near copies come out as stars
     and not as all their pairs.
     """
-    return _node_pairs(distinct, _walk(radius), 1, radius, max_nodes)
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets have that Jaccard similarity at least."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(common / (len(x) + len(y) - common) >= similarity)
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
-
-    both = pairs
-    for side, hashes in (("u", "x"), ("v", "y")):
-        both = both.join(sets.select(F.col("node_id").alias(side), F.col("hashes").alias(hashes)), side)
-    return both.select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
-
-
-def alike_links(
-    distinct: DataFrame, prints: DataFrame, texts: DataFrame, width: int, radius: int, words: int,
-    similarity: float, max_nodes: int,
-) -> DataFrame:
-    """Pairs (u, v) of ``node_id`` whose components are those of all verified candidates.
-
-    ``distinct`` has each shingle set once, ``prints`` the row keys of each, ``texts`` the
-    rows' texts. A spanning forest of the candidates is verified first. What it reaches is
-    only walked again where a pair failed, and then only between components found so far:
-    large groups of near copies never come out as all their pairs.
-    """
-    nodes = distinct.select("node_id", "fp", "n_set")
-    pick = lambda spanning: _candidates(radius, similarity, spanning)
-    first = nodes.withColumn("label", F.col("node_id"))
-    first = _node_pairs(first, pick(True), words, radius, max_nodes)
-    first = stage(first.distinct(), "candidates")
-    asked = first.select(F.explode(F.array("u", "v")).alias("node_id")).distinct()
-    one = prints.groupBy("node_id").agg(F.min(F.struct("h1", "h2")).alias("row"))
-    asked = stage(asked.join(one, "node_id").select("node_id", "row.h1", "row.h2"), "candidates")
-    rows = texts.join(F.broadcast(asked) if is_small(asked) else asked, ["h1", "h2"])
-    sets = map_rows(
-        rows.select("node_id", "text"), lambda i, t: (i, shingle_set(t, width).tobytes()),
-        "node_id long, hashes binary",
-    )
-    # a row that is there twice has its set twice
-    sets = stage(sets.groupBy("node_id").agg(F.first("hashes").alias("hashes")), "shingle-sets")
-    good = stage(_alike(first, sets, similarity), "links")
-    # groups of candidates that are not one component of links
-    label = connected(good).select("node", F.col("root").alias("label"))
-    around = connected(first).join(label, "node", "left")
-    around = around.select("node", "root", F.coalesce("label", "node").alias("label"))
-    split = around.groupBy("root").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    again = around.join(split.where("x != y"), "root").select(F.col("node").alias("node_id"), "label")
-    again = stage(nodes.join(again, "node_id"), "open-groups")
-    rest = _node_pairs(again, pick(False), words, radius, max_nodes).distinct()
-    return good.unionByName(_alike(rest.join(first, ["u", "v"], "left_anti"), sets, similarity))
+    members = _ready_members(_nodes(distinct), radius, max_nodes)
+    dealt = reduce(DataFrame.unionByName, members).groupBy("trie", "depth", "a", "b")
+    return dealt.applyInPandas(_walk(radius), "u long, v long")
 
 
 def components(
-    docs: DataFrame, width: int = 3, radius: int = 3, words: int = 1, similarity: float = 0.8,
-    id_col: str = "doc_id", text_col: str = "text", max_nodes: int = MAX_NODES,
+    docs: DataFrame, width: int = 3, radius: int = 3, id_col: str = "doc_id",
+    text_col: str = "text", max_nodes: int = MAX_NODES,
 ) -> DataFrame:
     """``doc_id``, ``fp``, ``h1``, ``h2``, ``root``, ``component_id``, a row for each input row.
 
     ``component_id`` is the smallest id reachable over links, null if all of these ids are
-    null; ``root`` names the component even then. With one word a link is a distance of
-    ``radius`` bits or fewer; with more, one of the words has that distance and the
-    shingle sets a Jaccard similarity of ``similarity`` or more. Null and empty texts have
-    fingerprint zero, which links like any other. Repeated rows and equal texts meet as
-    one fingerprint or shingle set before any pair is formed. An empty table gives an
-    empty result. Other columns are not read.
+    null; ``root`` names the component even then. A link is a distance of ``radius`` bits or
+    fewer. Null and empty texts have fingerprint zero, which links like any other. Repeated
+    rows and equal texts meet as one fingerprint before any pair is formed. An empty table
+    gives an empty result. Other columns are not read.
     """
-    prints = stage(fingerprints(docs, width, words, id_col, text_col), "fingerprints")
-    if words == 1:
-        node = "fp"
-        first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-        distinct = stage(first.withColumn("node_id", _word(F.col("fp"), 0)), "distinct-fps")
-        pairs = links(distinct.select("node_id", "fp"), radius, max_nodes)
-    else:
-        node = "node_id"
-        least = [F.min(c).alias(n) for c, n in (("doc_id", "first_id"), ("fp", "fp"), ("n_set", "n_set"))]
-        distinct = stage(prints.groupBy("node_id").agg(*least), "distinct-sets")
-        h1, h2 = row_key(docs[id_col], docs[text_col])
-        texts = docs.select(docs[text_col].alias("text"), h1.alias("h1"), h2.alias("h2"))
-        pairs = alike_links(distinct, prints, texts, width, radius, words, similarity, max_nodes)
-    roots = connected(pairs)
+    prints = stage(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    distinct = stage(first.withColumn("node_id", _word(F.col("fp"))), "distinct-fps")
+    roots = connected(links(distinct.select("node_id", "fp"), radius, max_nodes))
     rooted = distinct.join(roots, distinct["node_id"] == roots["node"], "left").select(
-        F.col(node).alias("key"), "first_id", F.coalesce("root", "node_id").alias("root")
+        "fp", "first_id", F.coalesce("root", "node_id").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(named, "root").select(F.col("key").alias(node), "root", "component_id")
-    return prints.join(classes, node).select("doc_id", "fp", "h1", "h2", "root", "component_id")
+    classes = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "h1", "h2", "root", "component_id")
 
 
 def keep_one(
-    docs: DataFrame, width: int = 5, radius: int = 7, words: int = 16, similarity: float = 0.8,
-    id_col: str = "doc_id", text_col: str = "text", max_nodes: int = 1_000_000,
+    docs: DataFrame, width: int = 3, radius: int = 3, id_col: str = "doc_id",
+    text_col: str = "text", max_nodes: int = MAX_NODES,
 ) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the
     smallest id stays (null ids last, then by hashes of the row), once if it is repeated.
     All columns stay as they are."""
-    found = components(docs, width, radius, words, similarity, id_col, text_col, max_nodes)
+    found = components(docs, width, radius, id_col, text_col, max_nodes)
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
     best = found.groupBy("root").agg(F.min(row).alias("row")).select("row.h1", "row.h2")
     h1, h2 = row_key(docs[id_col], docs[text_col])

@@ -6,24 +6,21 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 import helpers
-from clinflat.llm import compression_rules, simhash_dedup
+from clinflat.llm import compression_rules
 from clinflat.llm.queries import vocabulary
 from test_decontamination import plain as leaks
+from test_simhash import plain_fingerprint
 from test_suffix import plain as without_repeats
 
 
 def brute_force(docs, items):
     """The stages on plain lists; documents are (id, text), repeats of rows go at the second."""
     docs = [d for d in docs if compression_rules.judge_text(d[1])[-1]]
-    prints = [simhash_dedup.fingerprint(t, 5, 4) for _, t in docs]
-    words = [[int.from_bytes(p[8 * k : 8 * k + 8], "big") for k in range(4)] for p in prints]
-    most = simhash_dedup.bits_at(0.8, 256)
-    links = []
-    for a in range(len(docs)):
-        for b in range(a):
-            far = [(x ^ y).bit_count() for x, y in zip(words[a], words[b])]
-            if min(far) <= 7 and sum(far) <= most:
-                links.append((a, b))
+    prints = [plain_fingerprint(t) for _, t in docs]
+    links = [
+        (a, b) for a in range(len(docs)) for b in range(a)
+        if (prints[a] ^ prints[b]).bit_count() <= 3
+    ]
     root = helpers.roots(len(docs), links)
     first = {}
     for k, r in enumerate(root):
