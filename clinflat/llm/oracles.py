@@ -265,3 +265,39 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY rank <= 5
 """
+
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p),
+i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS s FROM w),
+g AS (
+  SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM i, (VALUES (1), (2), (3), (4), (5)) AS sizes(k) WHERE s + k - 1 <= len(words)
+  GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f FROM g WHERE f >= 100),
+inside AS (
+  SELECT DISTINCT y.lang, x.phrase
+  FROM f y, unnest(range(1, 5)) AS starts(s), unnest(range(2, 5)) AS sizes(m), f x
+  WHERE m < y.k AND s + m - 1 <= y.k AND x.lang = y.lang
+    AND x.phrase = array_to_string(y.words[s:s + m - 1], ' ') AND 100 * y.f >= 100 * x.f),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k.k,
+    array_to_string(c.words[1:k.k], ' ') AS head, array_to_string(c.words[k.k + 1:], ' ') AS tail
+  FROM f c JOIN (VALUES (1), (2), (3), (4)) AS k(k) ON k.k < c.k
+  ANTI JOIN inside ON inside.lang = c.lang AND inside.phrase = c.phrase),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, h.f AS l, t.f AS r, n.n, cuts.k,
+    CAST(1000::HUGEINT * cuts.a * n.n // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = cuts.head
+    JOIN f t ON t.lang = cuts.lang AND t.phrase = cuts.tail JOIN n ON n.lang = cuts.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""

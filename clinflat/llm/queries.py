@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflat.llm import (
     bpe_chunks,
+    collocations,
     compression_rules,
     decontamination,
     feistel_shards,
@@ -160,6 +161,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("record_id", "canonical_url", "ts", "state", "refers_to", lines)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -177,6 +182,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_revisits": op10_revisits,
+    "op11_collocations": op11_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -185,5 +191,6 @@ ORACLES = {
     "op7_suffix_array": oracles.SUFFIX_ARRAY,
     "op9_sharding": oracles.SHARDING,
     "op10_revisits": oracles.REVISITS,
+    "op11_collocations": oracles.COLLOCATIONS,
     "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
