@@ -22,15 +22,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinflat.llm.membership import bitmap_of, is_member
 from clinflat.session import stage
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SCALE = 1000  # of the score
-MEMBER_BITS = 1 << 27  # 16 MB, the largest bitmap of frequent phrases that tasks are sent
-BUCKET = 1 << 15  # bits of one bitmap of Spark's bitmap functions
 SLICE = 4 << 20  # bytes of text whose words are counted at once, about
 KNOWN_WORDS = 300_000  # hashes of words that a task remembers
 HELD = 1 << 21  # entries a task adds up before it sends them
@@ -169,10 +168,6 @@ def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _count_next(k: int, parts: int, bits: Callable[[], np.ndarray]) -> Callable:
     """Stripes of the prefixes of ``k`` words that the bitmap has."""
 
-    def member(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-        at = (h & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
-        return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
     def stripes(h: np.ndarray, nxt: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         part = (nxt % np.uint64(parts)).astype(np.int32)
         order = np.lexsort((part, h))
@@ -197,7 +192,7 @@ def _count_next(k: int, parts: int, bits: Callable[[], np.ndarray]) -> Callable:
                 for j in range(1, k):
                     h = h[:-1] * BASE + w[j:]
                     whole = whole[:-1] & (w[j:] != END)
-                often = whole & member(h, bitmap)
+                often = whole & is_member(h, bitmap)
                 at = np.flatnonzero(often[:size] & mine)
                 # the next word counts if the phrase that ends with it is frequent too
                 nxt = np.where(often[at + 1], w[at + k], np.uint64(END))
@@ -283,29 +278,6 @@ def _merge(least: int) -> Callable:
     return run
 
 
-def _bitmap(spark: SparkSession, hashes: DataFrame) -> Callable[[], np.ndarray]:
-    """The hashes (column ``h``) as a bitmap in every task.
-
-    Spark's bitmap aggregates make it, in buckets of 4 KB; the driver lays out at most
-    MEMBER_BITS, whatever the number of phrases.
-    """
-    n, bits = hashes.count(), BUCKET
-    while bits < min(16 * n, MEMBER_BITS):
-        bits *= 2
-    place = F.col("h").bitwiseAND(F.lit(bits - 1)) + 1  # the functions count from 1
-    buckets = (
-        hashes.select(place.alias("place"))
-        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
-    )
-    whole = np.zeros(bits // 8, np.uint8)
-    for row in buckets.toLocalIterator():
-        s = (row["bucket"] - 1) * (BUCKET // 8)
-        whole[s : s + BUCKET // 8] = np.frombuffer(row["bitmap"], np.uint8)
-    sent = spark.sparkContext.broadcast(whole)
-    return lambda: sent.value
-
-
 def frequent(
     docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang_col: str = "lang",
     text_col: str = "text",
@@ -316,7 +288,6 @@ def frequent(
     ``prefix_f`` is the sum of its stripe, which is ``f`` again, and ``right`` the count of
     its most frequent extension by a word behind (both null for the longest).
     """
-    spark = docs.sparkSession
     lang = F.coalesce(docs[lang_col].cast("string"), F.lit("und"))
     slim = docs.select(lang.alias("lang"), docs[text_col].alias("text")).where("text is not null")
     counted = slim.mapInArrow(_count_words, "lang string, word string, h long, n long")
@@ -330,7 +301,7 @@ def frequent(
     levels, level = [], one
     for k in range(1, longest):
         parts = PARTS.get(k, 1)
-        stripes = slim.mapInArrow(_count_next(k, parts, _bitmap(spark, level)), STRIPES_DDL)
+        stripes = slim.mapInArrow(_count_next(k, parts, bitmap_of(level)), STRIPES_DDL)
         merged = stage(
             stripes.repartition("h", "part").sortWithinPartitions("h", "part")
             .mapInArrow(_merge(least), "h long, next long, longer long, f long, most long"),

@@ -13,6 +13,7 @@ from clinflat.llm import (
     feistel_shards,
     hard_negatives,
     interpolated_lm,
+    jaccard_join,
     license_scan,
     oracles,
     revisits,
@@ -165,6 +166,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -183,6 +188,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_revisits": op10_revisits,
     "op11_collocations": op11_collocations,
+    "op12_jaccard": op12_jaccard,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
