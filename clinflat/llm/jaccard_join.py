@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 
 from clinflat.llm.components import connected
 from clinflat.llm.membership import bitmap_of, is_member
-from clinflat.llm.texts import row_key, words_of
+from clinflat.llm.texts import row_key
 from clinflat.session import is_small, stage
 
 WIDTH, SHARE = 3, 90
 NARROW, WIDE = 256, 4096  # bits of the bitmaps; sets of WIDE_FROM shingles have both
 WIDE_FROM = 1000
+BAND = 1.5  # largest ratio of sizes in a band
 TILE = 2048  # nodes of a tile, about
 TILE_BYTES = 16 << 20  # text of a tile at most, but for a longer one
 COUNTERS, CHUNK = 1 << 17, 1 << 12
@@ -54,9 +55,12 @@ class Words(dict):
         return h
 
 
-def shingle_set(known: Words, text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted hashes of the different ``width``-word shingles; with fewer words, of them all."""
-    words = words_of(text)
+def shingle_set(known: Words, text: bytes | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted hashes of the different ``width``-word shingles; with fewer words, of them all.
+
+    On UTF-8, ``lower`` changes A-Z only and ``split`` cuts at just the six white spaces.
+    """
+    words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
     w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -92,6 +96,19 @@ def prefix(shingles: np.ndarray, counters: np.ndarray, share: int = SHARE) -> np
     return shingles[np.argsort(seen, kind="stable")[: n - -(-share * n // 100) + 1]]
 
 
+def band_of(n, ratio: float = BAND):
+    """Number of the size band of sets of n shingles."""
+    return np.floor(np.log(n) / np.log(ratio) + 1e-9).astype(np.int64)
+
+
+def banded(keys: np.ndarray, n: int, share: int) -> np.ndarray:
+    """The keys by size band: that of the set, and the next if a linked set may be in it."""
+    low, high = band_of(np.array([n, 100 * n / share + 1e-6])).tolist()
+    both = [keys * BASE + np.uint64(b) for b in range(low, high + 1)]
+    h = np.concatenate(both) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 class Tile:
     """Nodes of about one size with their bitmaps, compared with each other."""
 
@@ -159,13 +176,13 @@ def _prints(width: int, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counters = Words(), np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            rows = []
+            rows, seen = [], [np.zeros(0, np.int64)]
             for text in batch.column(1).to_pylist():
                 s = shingle_set(known, text, width)
-                at = (s >> np.uint64(20) & np.uint64(COUNTERS - 1)).astype(np.int64)
-                np.add.at(counters, at, 1)
+                seen.append((s >> np.uint64(20) & np.uint64(COUNTERS - 1)).astype(np.int64))
                 home = int(s[:1].view(np.int64)[0]) if len(s) else None
                 rows.append((name_of(s), len(s), home))
+            counters += np.bincount(np.concatenate(seen), minlength=COUNTERS)
             columns = [batch.column(0), batch.column(2), batch.column(3)]
             columns += [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 3)]
             none = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())]
@@ -222,7 +239,7 @@ NODES_DDL = "node long, n long, label long, keys array<long>, bitmap binary"
 def _home_tiles(width: int, share: int, counters: Callable[[], np.ndarray]) -> Callable:
     """The nodes of each tile with their label, keys and bitmap; rows come by tile, node by node."""
 
-    def solve(rows: list[tuple[int, str]], known: Words) -> pa.RecordBatch:
+    def solve(rows: list[tuple[int, bytes]], known: Words) -> pa.RecordBatch:
         sets = [shingle_set(known, text, width) for _, text in rows]
         maps = [bitmap(s) for s in sets]
         groups = Groups(len(rows))
@@ -237,7 +254,7 @@ def _home_tiles(width: int, share: int, counters: Callable[[], np.ndarray]) -> C
                     if groups.root(x) != groups.root(y) and alike(sets[x], sets[y], share):
                         groups.join(x, y)
         seen = counters()
-        keys = [prefix(s, seen, share).view(np.int64) for s in sets]
+        keys = [banded(prefix(s, seen, share), len(s), share).view(np.int64) for s in sets]
         offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
         columns = [
             pa.array([r[0] for r in rows], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
@@ -264,10 +281,14 @@ def _home_tiles(width: int, share: int, counters: Callable[[], np.ndarray]) -> C
     return run
 
 
-MET = pa.schema(
-    [("key", pa.int64()), ("node", pa.int64()), ("label", pa.int64()), ("n", pa.int64()),
-     ("bitmap", pa.binary())]
-)
+WORDS = [f"w{k}" for k in range(NARROW // 64)]
+MET = pa.schema([(x, pa.int64()) for x in ("key", "node", "label", "n", *WORDS)])
+MET_DDL = ", ".join(f"{x} long" for x in MET.names)
+
+
+def folded(bitmap: bytes) -> np.ndarray:
+    """The NARROW bits of a bitmap of either size."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, NARROW // 64))
 
 
 def _at_keys(bits: Callable[[], np.ndarray]) -> Callable:
@@ -280,8 +301,12 @@ def _at_keys(bits: Callable[[], np.ndarray]) -> Callable:
             flat = keys.flatten().to_numpy(False)
             row = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
             kept = is_member(flat.view(np.uint64), mixed)
-            at = pa.array(row[kept])
-            columns = [pa.array(flat[kept]), *(c.take(at) for c in (node, label, n, maps))]
+            row, flat = row[kept], flat[kept]
+            narrow = np.array([folded(b) for b in maps.to_pylist()]).view(np.int64)
+            narrow = narrow.reshape(-1, len(WORDS))[row]
+            at = pa.array(row)
+            columns = [pa.array(flat), *(c.take(at) for c in (node, label, n))]
+            columns += [pa.array(np.ascontiguousarray(w)) for w in narrow.T]
             yield pa.RecordBatch.from_arrays(columns, schema=MET)
 
     return run
@@ -294,58 +319,70 @@ def _candidates(share: int, forest: bool) -> Callable:
     """Candidate pairs of different labels in each tile: a forest of them, or all.
 
     A tile's rows come one after the other. Rows of side 1 are compared with those of side 0,
-    or, if there are none, those of side 0 with each other.
+    or, if there are none, those of side 0 with each other. All tiles of a batch are compared
+    at once, each row with the one that is d places further, for growing d.
     """
 
-    def solve(columns: tuple, found: set) -> None:
-        node, label, n, maps, side = columns
-        if len(set(label)) < 2:
-            return
-        order = sorted(range(len(node)), key=lambda k: (n[k], node[k]))
-        sizes, sides = np.array([n[k] for k in order]), np.array([side[k] for k in order])
-        names, labels = np.unique([label[k] for k in order], return_inverse=True)
-        tile, groups = Tile(sizes, [maps[k] for k in order], share), Groups(len(names))
-        low, within = np.searchsorted(sizes, -(-share * sizes // 100)), not sides.any()
-        for i in range(1, len(order)):
-            others = np.arange(low[i], i)
-            others = others[(labels[others] != labels[i]) & (within | (sides[others] != sides[i]))]
-            for j in tile.near(i, others).tolist() if len(others) else ():
-                if not forest or groups.join(int(labels[i]), int(labels[j])):
-                    u, v = node[order[i]], node[order[j]]
-                    found.add((min(u, v), max(u, v)))
+    def solve(tile, node, label, n, side, maps) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((n, tile))
+        tile, node, label, n, side, maps = (x[order] for x in (tile, node, label, n, side, maps))
+        starts = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1])))
+        size = np.diff(np.append(starts, len(tile)))
+        within = np.repeat(np.maximum.reduceat(side, starts) == 0, size)
+        end = np.repeat(starts + size, size)
+        at, found, d = np.arange(len(tile)), [(np.zeros(0, np.int64),) * 2], 1
+        while True:
+            at = at[at + d < end[at]]
+            # sizes grow, so a set that is too small for this one is too small for the rest
+            at = at[100 * n[at] >= share * n[at + d]]
+            if not len(at):
+                break
+            i = at[(label[at] != label[at + d]) & (within[at] | (side[at] != side[at + d]))]
+            total = n[i] + n[i + d]
+            differ = np.bitwise_count(maps[i] ^ maps[i + d]).sum(axis=1, dtype=np.int64)
+            i = i[(total - differ) // 2 >= least_overlap(total, 0, share)]
+            found.append((i, i + d))
+            d += 1
+        i, j = (np.concatenate(x) for x in zip(*found))
+        if forest and len(i):
+            labels = np.unique(np.stack((tile, label)), axis=1, return_inverse=True)[1].ravel()
+            groups = Groups(int(labels.max()) + 1)
+            joins = [groups.join(x, y) for x, y in zip(labels[i].tolist(), labels[j].tolist())]
+            i, j = i[joins], j[joins]
+        return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last, found = [], None, set()
+        rest = None
         for batch in batches:
-            for key, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and key != last:
-                    solve(tuple(zip(*held)), found)
-                    held = []
-                    if len(found) > KNOWN_NODES:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], schema=PAIRS)
-                        found = set()
-                held.append(row)
-                last = key
-        if held:
-            solve(tuple(zip(*held)), found)
-        columns = zip(*found) if found else [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=PAIRS)
+            columns = [c.to_numpy() for c in batch.columns]
+            part = (*columns[:5], np.stack(columns[5:], axis=1).view(np.uint64))
+            if rest is not None:
+                part = tuple(np.concatenate(x) for x in zip(rest, part))
+            last = part[0] == part[0][-1] if len(part[0]) else np.zeros(0, bool)
+            rest = tuple(x[last] for x in part)
+            if not last.all():
+                u, v = solve(*(x[~last] for x in part))
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=PAIRS)
+        if rest is not None and len(rest[0]):
+            u, v = solve(*rest)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=PAIRS)
 
     return run
 
 
 def _tiles(met: DataFrame, share: int) -> DataFrame:
-    """``tile, node, label, n, bitmap, side``: the nodes of each key, cut where they are many.
+    """``tile, node, label, n, side`` and the bitmap: the nodes of each key, cut where they
+    are many.
 
-    Band b holds sizes from (100 / share)^b on, so linked sets are in one band or in two
-    neighbouring ones. A band of a large key is dealt to tiles by hash; tiles of one band,
-    and of it and the next, meet in pairs.
+    In a large key, bands are narrow: band b holds sizes from (100 / share)^b on, so linked
+    sets are in one or in two neighbouring ones. A band is dealt to tiles by hash; tiles of
+    one band, and of it and the next, meet in pairs.
     """
     sizes = met.groupBy("key").count()
     large = stage(sizes.where(F.col("count") > TILE).select("key"), "large-keys")
-    rest = ["node", "label", "n", "bitmap"]
+    rest = ["node", "label", "n"]
     small = met.join(large, "key", "left_anti").select(
-        F.xxhash64("key").alias("tile"), *rest, F.lit(0).alias("side")
+        F.xxhash64("key").alias("tile"), *rest, F.lit(0).cast("long").alias("side"), *WORDS
     )
     if large.isEmpty():
         return small
@@ -359,8 +396,8 @@ def _tiles(met: DataFrame, share: int) -> DataFrame:
 
     def places(n: str, tile: Callable, side: Callable):
         every = F.sequence(F.lit(0).cast("long"), F.coalesce(n, F.lit(1)) - 1)
-        one = F.transform(every, lambda j: F.struct(tile(j).alias("tile"), side(j).cast("int").alias("side")))
-        return F.when(F.col(n).isNotNull(), one).otherwise(F.array().cast("array<struct<tile:bigint,side:int>>"))
+        one = F.transform(every, lambda j: F.struct(tile(j).alias("tile"), side(j).cast("long").alias("side")))
+        return F.when(F.col(n).isNotNull(), one).otherwise(F.array().cast("array<struct<tile:bigint,side:bigint>>"))
 
     name = lambda kind, b, i, j: F.xxhash64("key", F.lit(kind), b, i, j)
     b, low, high = F.col("band"), F.least, F.greatest
@@ -369,7 +406,27 @@ def _tiles(met: DataFrame, share: int) -> DataFrame:
         places("up", lambda j: name(1, b, own, j), lambda j: F.lit(0)),
         places("down", lambda j: name(1, b - 1, j, own), lambda j: F.lit(1)),
     )
-    return small.unionByName(banded.select(F.inline(spread), *rest).select("tile", *rest, "side"))
+    return small.unionByName(banded.select(F.inline(spread), *rest, *WORDS).select("tile", *rest, "side", *WORDS))
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
+    """The pairs (u, v) that the wide bitmaps of large sets leave."""
+    maps = nodes.where(F.col("n") >= WIDE_FROM).select("node", "n", "bitmap").dropDuplicates(["node"])
+    for side, (n, bits) in (("u", ("a", "x")), ("v", ("b", "y"))):
+        one = maps.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bitmap").alias(bits))
+        pairs = pairs.join(one, side, "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for _, _, a, x, b, y in zip(*(c.to_pylist() for c in batch.columns)):
+                kept.append(x is None or y is None)
+                if x and y:
+                    differ = (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+                    kept[-1] = (a + b - differ) // 2 >= least_overlap(a + b, 0, share)
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.select("u", "v", "a", "x", "b", "y").mapInArrow(run, "u long, v long")
 
 
 def _verified(
@@ -417,7 +474,7 @@ def components(
     """
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     h1, h2 = row_key(docs[id_col], docs[text_col])
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), h1.alias("h1"), h2.alias("h2"))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("binary").alias("text"), h1.alias("h1"), h2.alias("h2"))
     ddl = PRINTS.format(kind.simpleString())
     found = stage(rows.mapInArrow(_prints(width, _arrow(spark, ddl)), ddl), "shingle-prints")
     prints = found.where("chunk is null").drop("chunk", "counts")
@@ -432,7 +489,7 @@ def components(
     many = sets.groupBy("home").count().where(F.col("count") > TILE)
     many = stage(many.select("home", F.ceil(F.col("count") / TILE).alias("salts")), "large-homes")
     homes = rows.select("text").where("text is not null").mapInArrow(
-        _with_home(width), "home long, node long, text string"
+        _with_home(width), "home long, node long, text binary"
     )
     homes = homes.join(F.broadcast(many) if is_small(many) else many, "home", "left")
     salt = F.pmod("node", F.coalesce("salts", F.lit(1)))
@@ -449,7 +506,7 @@ def components(
     bits = bitmap_of(stage(mixed.select("h"), "mixed-keys"))
     met = stage(
         nodes.select("node", "label", "n", "keys", "bitmap").mapInArrow(
-            _at_keys(bits), "key long, node long, label long, n long, bitmap binary"
+            _at_keys(bits), MET_DDL
         ),
         "met",
     )
@@ -457,19 +514,24 @@ def components(
     def candidates(met: DataFrame, forest: bool) -> DataFrame:
         dealt = _tiles(met, share).repartition("tile").sortWithinPartitions("tile")
         pairs = dealt.mapInArrow(_candidates(share, forest), "u long, v long")
-        return stage(pairs.distinct(), "candidates")
+        return stage(pairs.where("u != v").distinct(), "candidates")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = stage(_near(pairs, nodes, share), "candidates")
+        return stage(_verified(near, prints, rows, width, share), "links")
 
     tried = candidates(met, True)
-    good = stage(_verified(tried, prints, rows, width, share), "links")
+    good = linked(tried)
     links = first.unionByName(good)
-    if tried.count() > good.count():  # other pairs may join what a failed one did not
+    failed = tried.join(good, ["u", "v"], "left_anti").select(F.col("u").alias("node")).distinct()
+    if not failed.isEmpty():
+        # in a tile where a pair failed, others may join what it did not
+        keys = met.join(failed, "node", "left_semi").select("key").distinct()
         label = connected(links).select(F.col("node"), F.col("root").alias("new"))
-        again = met.join(label, "node", "left")
-        again = again.withColumn("label", F.coalesce("new", "node")).drop("new")
-        open_ = again.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        again = stage(again.join(open_.where("x != y").select("key"), "key"), "met")
-        rest = candidates(again, False).join(tried, ["u", "v"], "left_anti")
-        links = links.unionByName(stage(_verified(stage(rest, "candidates"), prints, rows, width, share), "links"))
+        again = met.join(keys, "key", "left_semi").join(label, "node", "left")
+        again = again.withColumn("label", F.coalesce("new", "node")).select(*MET.names)
+        rest = candidates(stage(again, "met"), False).join(tried, ["u", "v"], "left_anti")
+        links = links.unionByName(linked(rest))
 
     roots = connected(links)
     rooted = prints.join(roots, "node", "left").select(
