@@ -11,15 +11,21 @@ separator, and the window's two halves as they stand in their chunks. The halves
 the end of the one chunk's tokens and the beginning of the other's, and the window must
 agree with them at its outer ends; it then replaces them. Otherwise it grows. A document
 with a join that never agrees is encoded as a whole.
+
+All of this needs a tokenizer that splits its text at white space and drops it, which is read
+from the file (``splits_at_space``). With any other, every text is encoded as a whole.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +69,57 @@ def cuts(text: str) -> list[int]:
     return [*ends, n] if last < n else ends
 
 
+PROBES = [" ", "\n", "a b", "a\nb", "1 2", ". ,", "a  'b", "é 一\n\n1 ."]
+DROP_SPACE = {"WhitespaceSplit", "Whitespace", "BertPreTokenizer"}
+LOCAL = {"NFC", "NFD", "Lowercase", "Replace"}  # normalizers that join nothing across a space
+
+
+LETTERS_SIGNS = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")  # no apostrophe
+LETTERS, SIGNS, DIGITS = r"[\p{L}]+", r"[^\s\p{L}\p{N}]+", r"[\p{N}]"
+
+
+def steps(part: dict | None, name: str) -> list[dict]:
+    return [] if part is None else part[name] if part["type"] == "Sequence" else [part]
+
+
+def cuts_signs(spec: dict) -> bool:
+    """Whether the file's pattern matches runs of letters and runs of other signs apart, and
+    nothing else but digits and what begins with an apostrophe."""
+    first = (steps(spec.get("pre_tokenizer"), "pretokenizers") or [{"type": None}])[0]
+    pattern = first["pattern"].get("Regex", "") if first["type"] == "Split" else ""
+    kinds = {k for k in pattern.split("|") if not k.startswith("'")}
+    added = "".join(t["content"] for t in spec.get("added_tokens") or ())
+    return {LETTERS, SIGNS} <= kinds <= {LETTERS, SIGNS, DIGITS} and added.isascii()
+
+
+def splits_at_space(spec: dict) -> bool:
+    """Whether the tokenizer of this file encodes what stands between white space apart.
+
+    Its first pre-tokenizer must drop white space: one that does so by its kind, or a split
+    that keeps only the matches of a pattern, none of which has white space in it. Added
+    tokens must not reach over white space either.
+    """
+
+    first = (steps(spec.get("pre_tokenizer"), "pretokenizers") or [{"type": None}])[0]
+    drops = first["type"] in DROP_SPACE
+    if first["type"] == "Split" and first["invert"] and first["behavior"] == "Removed":
+        pattern = first["pattern"].get("Regex")
+        drops = pattern is not None and not any(
+            any(map(str.isspace, m[0])) or not m[0]
+            for text in PROBES for m in regex.finditer(pattern, text)
+        )
+    whole = all(
+        not (t["lstrip"] or t["rstrip"] or any(map(str.isspace, t["content"])))
+        for t in spec.get("added_tokens") or ()
+    )
+    normal = steps(spec.get("normalizer"), "normalizers")
+    local = all(
+        n["type"] in LOCAL and (n["type"] != "Replace" or n["pattern"].get("Regex") == r"\s+" and n["content"] == " ")
+        for n in normal
+    )
+    return drops and whole and local
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit integers, from bounded caches."""
 
@@ -75,6 +132,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        spec = json.loads(tokenizer_json)
+        self.by_pieces = splits_at_space(spec)
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # without a decoder the library puts spaces between the tokens
+        self.tokens = tokens if self.tokenizer.decoder is None else None
+        self.cuts_signs = self.by_pieces and cuts_signs(spec)
+        lowers = any(n["type"] == "Lowercase" for n in steps(spec.get("normalizer"), "normalizers"))
+        self.lowers = lowers and not any(t["content"].isalpha() for t in spec.get("added_tokens") or ())
         self.pieces: dict[str, bytes] = {"": b""}
         self.chunks: dict[str, bytes] = {}
         self.chunk_chars = 0
@@ -84,6 +149,24 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _each(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each piece. One of plain letters and signs behind them is put together
+        from its two parts, if the tokenizer cuts there, and letters are lower-cased first,
+        if it does so, as both make more pieces alike."""
+        parts = {}
+        for p in pieces:
+            cut = LETTERS_SIGNS.fullmatch(p) if self.cuts_signs else None
+            plain = cut.groups() if cut else (p,)
+            lowers = self.lowers and p.isascii()
+            parts[p] = tuple(x.lower() if lowers and x.isalpha() else x for x in plain)
+        known = self.pieces
+        new = list({x for xs in parts.values() for x in xs if x not in known})
+        ids = dict(zip(new, self._plain(new))) if new else {}
+        for x, i in ids.items():
+            if len(x) <= LONG_PIECE:
+                known[x] = i
+        return {p: b"".join([ids[x] if x in ids else known[x] for x in xs]) for p, xs in parts.items()}
+
     def direct(self, text: str) -> bytes:
         """Ids of a text by its pieces between separators, each encoded once."""
         for c in SEPARATORS[1:]:
@@ -92,9 +175,9 @@ class Encoder:
         known = self.pieces
         new = list({p for p in parts if p not in known})
         if new:
-            if len(known) + len(new) > PIECE_CACHE:
+            if len(known) + 3 * len(new) > PIECE_CACHE:
                 known = self.pieces = {p: known[p] for p in {""} | {p for p in parts if p in known}}
-            got = dict(zip(new, self._plain(new)))
+            got = self._each(new)
             out = b"".join([got[p] if p in got else known[p] for p in parts])
             known.update((p, i) for p, i in got.items() if len(p) <= LONG_PIECE)
             return out
@@ -136,6 +219,8 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[bytes, int]:
         """Ids of a whole text, and its chunks."""
+        if not self.by_pieces:
+            return self._plain([text])[0], 1
         ends = cuts(text)
         chunks = [text[s:e] for s, e in zip([0, *ends], ends)]
         ids = [self.chunk(c) for c in chunks]
@@ -149,7 +234,10 @@ class Encoder:
         return b"".join([*out, ids[-1][drop:]]), len(chunks)
 
     def decode(self, ids: bytes) -> str:
-        return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        if self.tokens is not None:
+            return " ".join(map(self.tokens.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
 
 SCHEMA = pa.schema(

@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from clinflat.llm import bpe_chunks as B
 from clinflat.llm.queries import op3_bpe_chunks, vocabulary
 
 ODD = [
-    "<|startoftext|> hi <|endoftext|>" * 400, "I'll we'ré ́ a b c\x1d d\x85e " * 500,
+    "<|startoftext|> hi <|endoftext|>" * 400, "<|ENDOFTEXT|> END<|EndOfText|> ab<|endoftext|>ab! Ab!? AB!" * 50, "I'll we'ré ́ a b c\x1d d\x85e " * 500,
     "\n\n \t" * 3000, "Don't STOP " * 2000 + "'S " * 1000, "nospace" * 4000,
     "x" * 9000 + " " + "y" * 9000, "ÀÉ̀ ﬁ Σίσυφος İ " * 900,
 ]
@@ -43,6 +44,35 @@ def test_whole_texts(spark, library, monkeypatch):
         assert encoder.repaired > 100  # cuts inside words do occur, and are repaired
 
 
+def test_other_tokenizers(spark):
+    """A tokenizer that keeps white space, for which pieces and joins would be wrong."""
+    path = vocabulary("byte_bpe_50k.json")
+    other, spec = Tokenizer.from_file(path), open(path, encoding="utf-8").read()
+    assert not B.splits_at_space(json.loads(spec))
+    assert B.splits_at_space(json.load(open(vocabulary(), encoding="utf-8")))
+    texts = [t or "" for t in helpers.awkward_texts() + ODD] + ["two words", " a\n b", "x  y"]
+    encoder = B.Encoder(spec)
+    for text in texts:
+        ids, _ = encoder.encode(text)
+        want, decoded = expected(other, text)
+        assert np.frombuffer(ids, "<u4").tolist() == want and encoder.decode(ids) == decoded
+    rows = B.encode_documents(helpers.documents(spark, texts), path).collect()
+    assert {r["doc_id"]: r["decoded"] for r in rows} == {
+        k: expected(other, t)[1] for k, t in enumerate(texts)
+    }
+
+
+def test_only_files_that_drop_white_space_are_cut():
+    spec = json.load(open(vocabulary(), encoding="utf-8"))
+    keep = spec["pre_tokenizer"]["pretokenizers"][0]
+    for change in ({"behavior": "Isolated"}, {"invert": False}, {"pattern": {"Regex": r"\S+ ?"}}):
+        other = spec | {"pre_tokenizer": keep | change}
+        assert not B.splits_at_space(other)
+    assert B.splits_at_space(spec | {"pre_tokenizer": {"type": "WhitespaceSplit"}})
+    assert not B.splits_at_space(spec | {"pre_tokenizer": None})
+    assert not B.splits_at_space(spec | {"normalizer": {"type": "NFKC"}})
+
+
 def test_chunks_follow_the_content():
     shared = helpers.prose(1, 4000)
     a, b = (f"{helpers.prose(k, 300)} {shared}" for k in (2, 3))
