@@ -90,7 +90,7 @@ def assign(
     docs: DataFrame, shards: int = SHARDS, seed: str = SEED, id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, size, text_crc32, law, number, shard, slot, grown_shard`` for each row.
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard, number`` for each row.
 
     The law is ``rows``: shard sizes differ by at most one. ``size`` is the text's UTF-8
     bytes plus 16; a null text has no bytes and the checksum of none, 0. Rows are numbered
@@ -109,8 +109,8 @@ def assign(
     numbered, n = row_numbers(slim, "doc_id", "text_crc32", "size", "tie")
     placed = numbered.withColumn("p", permuted(F.col("number"), n, seed))
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "number",
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
         (F.col("p") % shards).cast("int").alias("shard"),
         F.expr(f"p div {shards}").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
+        F.lit(None).cast("int").alias("grown_shard"), "number",
     )
