@@ -8,10 +8,11 @@ from checks import fixtures as fx
 from checks import sql
 from clinflat.functions.fhirpath import first_coding, reference_key
 from clinflat.operators import observation as ob
-from clinflat.operators import profile, stats, vocab
+from clinflat.operators import profile, states, stats, vocab
 from clinflat.operators.window import Window
 from clinflat.session import table_path
 from clinflat.sources import bundles, resources, sinks
+from clinflat.streaming import arrival
 
 YEAR = 2026
 METRICS = ["click", "view", "error", "a"]
@@ -149,6 +150,48 @@ def coding_systems(spark, d):
     return stats.coding_systems(*[p(spark, d) for p in parts])
 
 
+def _monthly_states(spark, d):
+    """The state of all observations and patients, kept by month and merged."""
+    path = table_path(spark, "states")
+    observed, patients = fx.observations(spark, d), fx.patients(spark, d)
+    month = F.coalesce(F.substring("date", 1, 7), F.lit("undated"))
+    rows = states.row_states(ob.long_observations(observed, patients), month)
+    kept = states.resource_states(observed.unionByName(patients), month)
+    states.write_states(rows.unionByName(kept), path)
+    return states.merged(states.read_states(spark, path))
+
+
+def stats_from_states(spark, d):
+    return states.statistics(_monthly_states(spark, d), "Observation", YEAR)
+
+
+def vocab_from_states(spark, d):
+    return states.vocabulary(_monthly_states(spark, d), "observation_codes")
+
+
+def systems_from_states(spark, d):
+    """Systems of two jobs that share the patients, each with a state of its own."""
+    path = table_path(spark, "states")
+    jobs = {
+        "observation": (fx.observations, fx.patients),
+        "survey": (fx.responses, fx.questionnaires, fx.patients),
+    }
+    for job, parts in jobs.items():
+        for p in parts:
+            part = F.lit(f"{job}-{p.__name__}")
+            states.write_states(states.resource_states(p(spark, d), part), path)
+    return states.systems(states.merged(states.read_states(spark, path)))
+
+
+def arrival_steps(spark, d):
+    """All resources as files of lines, taken into the lake by a stream in several batches."""
+    source, lake, checkpoint = (table_path(spark, x) for x in ("lines", "lake", "checkpoint"))
+    fx.resources(spark, d).select("json").write.text(source)
+    stream = arrival.arriving(spark, source, files_a_batch=16)
+    arrival.write_arrivals(stream, lake, checkpoint).awaitTermination()
+    return arrival.read_arrivals(spark, lake).select("resource_type", "id", "date")
+
+
 def resource_counts(spark, d):
     return stats.resource_counts(fx.resources(spark, d))
 
@@ -176,6 +219,10 @@ QUERIES = {
     "dataset_stats": dataset_stats,
     "vocab_observation": vocab_observation,
     "coding_systems": coding_systems,
+    "stats_from_states": stats_from_states,
+    "vocab_from_states": vocab_from_states,
+    "systems_from_states": systems_from_states,
+    "arrival_steps": arrival_steps,
     "resource_counts": resource_counts,
 }
 
@@ -269,3 +316,15 @@ ORACLES = {
     "resource_counts": sql.with_(sql.PAT, sql.ORD, _IDS)
     + "SELECT resource_type, count(*) AS n FROM ids GROUP BY resource_type",
 }
+
+ORACLES |= {
+    "stats_from_states": ORACLES["dataset_stats"],
+    "vocab_from_states": ORACLES["vocab_observation"],
+    "systems_from_states": ORACLES["coding_systems"],
+    "arrival_steps": sql.with_(sql.PAT, sql.OBS, sql.ORD, _IDS)
+    + """SELECT resource_type, id, NULL AS date FROM ids
+          WHERE resource_type IN ('Patient', 'Questionnaire')
+        UNION ALL SELECT 'Observation', 'o' || e, date FROM obs
+        UNION ALL SELECT 'QuestionnaireResponse', rid, date FROM ord
+        UNION ALL SELECT 'QuestionnaireResponse', rid, date FROM lin""",
+}
