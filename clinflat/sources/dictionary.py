@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflat.functions.text import trim_whitespace
+from clinflat.sources import csv_records
 
 RAW_ROW = "__raw"
 
@@ -30,45 +31,23 @@ SHEET_LANGUAGE_POSITIONS = {
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Trimmed header names of the CSV files, read from the first row of the first one.
-
-    Cells are later read by position, so files with different headers are an error.
-    """
-    start = F.substring_index("value", "\n", 1)
-    heads = spark.read.text(path, wholetext=True).select(
-        F.regexp_replace(start, "[\r\ufeff]", "").alias("head")
-    )
-    if heads.distinct().limit(2).count() > 1:
-        raise ValueError(f"the files of {path} have different header rows: read them one by one")
-    first = (
-        spark.read.option("header", False).option("multiLine", True).option("escape", '"')
-        .csv(path).first()
-    )
-    names = [] if first is None else [c or "" for c in first]
-    return [n.lstrip("\ufeff").strip() for n in names]
+    """Trimmed header names of the CSV files, which must all have the same."""
+    return csv_records.header(csv_records.read_records(spark, path))
 
 
 def read_dictionary_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
     """Dictionary rows as text: quoted commas, newlines and doubled quotes, cells
     trimmed, missing cells empty, rows with under half the cells dropped.
 
-    Spark pads short rows with nulls and cannot tell a missing cell from an empty
-    one, so such rows keep their raw text and their cells are counted there.
+    A file is cut into records by many tasks. Short rows are padded with nulls, which
+    cannot be told from empty cells, so such rows keep their raw text and their cells
+    are counted there.
     """
-    names = read_header(spark, path) if header is None else header
+    records = csv_records.read_records(spark, path)
+    names = csv_records.header(records) if header is None else header
     # Cells are read by position; a header name may repeat, then the last one counts.
     last = {name: i for i, name in enumerate(names)}
-    schema = ", ".join(f"_c{i} string" for i in range(len(names))) + f", {RAW_ROW} string"
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW_ROW)
-        .csv(path)
-    )
+    rows = csv_records.cells(records, names, RAW_ROW)
     unquoted = F.regexp_replace(RAW_ROW, '"(?:[^"]|"")*"', "q")
     cells = F.size(F.split(unquoted, ","))
     complete = F.col(RAW_ROW).isNull() | (cells * 2 >= len(names))
