@@ -11,6 +11,7 @@ from checks import sql
 from checks.observations import obs_long
 from checks.surveys import vocab_merged
 from clinflat import namespaces as ns
+from clinflat.operators import graph_delta as gd
 from clinflat.operators import record_triples as rt
 from clinflat.operators import schema_triples as st
 from clinflat.operators.triples import concept_schemes
@@ -56,6 +57,26 @@ def valueset_triples(spark, d):
     return st.value_set_triples(dc.redcap_value_sets(spark, d))
 
 
+def _releases(spark, d):
+    """The value sets as first published, and as published now: one code has gone, one is
+    new, and the displays of another are written differently."""
+    now = dc.redcap_value_sets(spark, d)
+    first = now.where(F.col("Code") != "2").withColumn(
+        "Display", F.when(F.col("Code") == "1", F.lower("Display")).otherwise(F.col("Display"))
+    )
+    return st.value_set_triples(first), st.value_set_triples(now.where(F.col("Code") != "4"))
+
+
+def graph_delta(spark, d):
+    return gd.graph_delta(*_releases(spark, d))
+
+
+def graph_republished(spark, d):
+    """The changes applied to the first release give the present one."""
+    old, new = _releases(spark, d)
+    return gd.apply_delta(old, gd.graph_delta(old, new))
+
+
 def _addressed(spark, d):
     return rt.with_addresses(
         md.records(spark, d), F.concat(F.lit("run"), F.col("s_suppkey").cast("string"))
@@ -110,6 +131,8 @@ QUERIES = {
     "dictionary_triples": dictionary_triples,
     "facet_triples": facet_triples,
     "valueset_triples": valueset_triples,
+    "graph_delta": graph_delta,
+    "graph_republished": graph_republished,
     "link_triples": link_triples,
     "catalog_triples": catalog_triples,
     "distribution_triples": distribution_triples,
@@ -482,6 +505,11 @@ def _node(c: str) -> str:
 _LINE = f"""SELECT {_node('s')} || ' <' || p || '> ' || CASE WHEN o_kind <> 'literal' THEN {_node('o')}
   ELSE '"' || {_ESCAPED} || '"' || coalesce('@' || lang, '^^<' || datatype || '>', '') END || ' .' AS value"""
 
+_RELEASES = """first AS (SELECT var, code, CASE WHEN code = '1' THEN lower(display) ELSE display END AS display
+  FROM red_codes WHERE code <> '2'),
+now AS (SELECT var, code, display FROM red_codes WHERE code <> '4')"""
+_FIRST, _NOW = (_graph(*_scheme(r, "var", "code", "display")) for r in ("first", "now"))
+
 ORACLES = {
     "csvw_triples": sql.with_(_CSVW)
     + _graph(
@@ -507,6 +535,10 @@ ORACLES = {
     "dictionary_triples": sql.with_(*_DICTIONARY) + _graph(*_DICT_TRIPLES),
     "facet_triples": sql.with_(*_DICTIONARY) + _graph(*_FACETS),
     "valueset_triples": sql.with_(*dc.CODES) + _graph(*_scheme("red_codes", "var", "code", "display")),
+    "graph_delta": sql.with_(*dc.CODES, _RELEASES)
+    + f"""SELECT 'drop' AS op, * FROM (({_FIRST}) EXCEPT ({_NOW}))
+        UNION ALL SELECT 'add' AS op, * FROM (({_NOW}) EXCEPT ({_FIRST}))""",
+    "graph_republished": sql.with_(*dc.CODES, _RELEASES) + _NOW,
     "link_triples": sql.with_(_RECS)
     + _graph(
         _t("adr", "ds", ns.DCT + "isPartOf", "cat"),

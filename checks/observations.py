@@ -127,6 +127,18 @@ def profile_pivot(spark, d):
     return profile.patient_profiles(obs_long(spark, d), METRICS)
 
 
+def profile_sparse(spark, d):
+    """All codes of every patient, the map's entries as text."""
+    entries = F.map_entries("metrics")
+    texts = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    rows = profile.sparse_profiles(obs_long(spark, d))
+    return rows.select("pid", F.array_join(texts, "; ").alias("metrics"))
+
+
+def profile_sparse_columns(spark, d):
+    return profile.metric_columns(profile.sparse_profiles(obs_long(spark, d)), METRICS)
+
+
 def age_stats(spark, d):
     return stats.age_stats(fx.patients(spark, d), YEAR)
 
@@ -214,6 +226,8 @@ QUERIES = {
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_parquet_roundtrip": sink_parquet_roundtrip,
     "profile_pivot": profile_pivot,
+    "profile_sparse": profile_sparse,
+    "profile_sparse_columns": profile_sparse_columns,
     "age_stats": age_stats,
     "temporal_coverage": temporal_coverage,
     "dataset_stats": dataset_stats,
@@ -292,6 +306,12 @@ ORACLES = {
     "sink_csv_roundtrip": _OBS_SELECT,
     "sink_parquet_roundtrip": _OBS_SELECT,
     "profile_pivot": sql.with_(*sql.OBSERVED) + f"SELECT pid, {_EARLIEST} FROM obs_long GROUP BY pid",
+    "profile_sparse": sql.with_(*sql.OBSERVED)
+    + """SELECT pid, coalesce(string_agg(code || '=' || value, '; ' ORDER BY code), '') AS metrics FROM (
+          SELECT pid, code, arg_min(value, coalesce(date, 'undated') || chr(1) || value) AS value
+          FROM obs_long WHERE value IS NOT NULL GROUP BY pid, code) GROUP BY pid""",
+    "profile_sparse_columns": sql.with_(*sql.OBSERVED)
+    + f"SELECT pid, {_EARLIEST} FROM obs_long GROUP BY pid",
     "age_stats": sql.with_(sql.PAT) + f"SELECT {_AGES} FROM pat",
     "temporal_coverage": sql.with_(sql.OBS)
     + "SELECT min(left(date, 10)) AS start_date, max(left(date, 10)) AS end_date FROM obs",
