@@ -15,6 +15,28 @@ NUMBERS_AS_TEXT = (
     r"""'$1"$2"')"""
 )
 
+# A value's number that parsing may write differently: all but plain integers and
+# fractions of at most 15 digits without an exponent or closing zeros.
+CHANGED_NUMBER = (
+    r'"value(?:Integer|Decimal)?"\s*:\s*(?=[-0-9])(?!(?:0|-?[1-9][0-9]{0,17}'
+    r"|-?[1-9][0-9]{0,6}\.(?:0|[0-9]{0,7}[1-9])|-?0\.0{0,2}[1-9](?:[0-9]{0,9}[1-9])?)[\s,}])"
+)
+
+
+def numbers_kept(json: Column) -> Column:
+    """Whether parsing the text keeps every value's number digit for digit."""
+    return ~F.rlike(json, F.lit(CHANGED_NUMBER))
+
+
+def exact_json(df: DataFrame) -> str:
+    """SQL for the JSON text to parse values from, so that their numbers keep all digits.
+
+    The lake knows for each resource whether that takes any change (``numbers_kept``).
+    """
+    if "numbers_kept" not in df.columns:
+        return NUMBERS_AS_TEXT
+    return f"IF(coalesce(numbers_kept, false), json, {NUMBERS_AS_TEXT})"
+
 
 def reference_key(ref: Column) -> Column:
     """Patient id of a reference; null when the target is not a patient."""

@@ -37,8 +37,10 @@ def transaction_entries(resources: DataFrame) -> DataFrame:
     ``rank`` and ``id`` give the order when one is wanted.
     """
     method, url = _request(F.col("resource_type"), F.col("id"))
+    broken = F.contains("json", F.lit("\n")) | F.contains("json", F.lit("\r"))
+    line = F.when(broken, F.regexp_replace("json", "[\r\n]+", " ")).otherwise(F.col("json"))
     entry = F.concat(
-        F.lit('{"resource":'), F.regexp_replace("json", "[\r\n]+", " "), F.lit(',"request":'),
+        F.lit('{"resource":'), line, F.lit(',"request":'),
         F.to_json(F.struct("method", "url")), F.lit("}"),
     )
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflat import schemas
 from clinflat.functions.fhirpath import (
-    NUMBERS_AS_TEXT,
+    exact_json,
     first_coding,
     parse_once,
     reference_key,
@@ -34,7 +34,7 @@ def parse(observations: DataFrame) -> DataFrame:
     """``resource_id, patient_uuid, date, r`` with the parsed observation in ``r``."""
     resources = of_type(observations, schemas.OBSERVATION_TYPE)
     return parse_once(
-        resources, schemas.OBSERVATION, "r", "id", json=F.expr(NUMBERS_AS_TEXT)
+        resources, schemas.OBSERVATION, "r", "id", json=F.expr(exact_json(resources))
     ).select(
         F.col("id").alias("resource_id"),
         reference_key(F.col("r.subject.reference")).alias("patient_uuid"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinflat import schemas
 from clinflat.functions.fhirpath import (
-    NUMBERS_AS_TEXT,
+    exact_json,
     nested_items,
     parse_once,
     questionnaire_key,
@@ -67,7 +67,7 @@ def response_items(responses: DataFrame) -> DataFrame:
     # Parsing and flattening are one expression: the parsed tree is never written
     # out as a row, only the flat items are.
     flat = F.expr(
-        f"""transform(array(from_json({NUMBERS_AS_TEXT}, '{schema}')), r -> named_struct(
+        f"""transform(array(from_json({exact_json(responses)}, '{schema}')), r -> named_struct(
             'reference', r.subject.reference, 'date', r.authored,
             'questionnaire_ref', r.questionnaire, 'items', {items}))"""
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflat import schemas
-from clinflat.functions.fhirpath import parse_once, questionnaire_key, unnest
+from clinflat.functions.fhirpath import numbers_kept, parse_once, questionnaire_key, unnest
 from clinflat.functions.iso import period_end, period_start
 from clinflat.operators.window import Window
 
@@ -53,6 +53,7 @@ def with_promoted(resources: DataFrame) -> DataFrame:
     microseconds since 1970 (parquet has no statistics on Spark's default timestamps),
     ``questionnaire_id`` the definition a response with items refers to, and
     ``systems`` every system named in the resource. All come from one parse.
+    ``numbers_kept``: values need no care to keep their digits when they are parsed.
     """
     head = (
         "struct<effectiveDateTime:string,authored:string,questionnaire:string,"
@@ -78,6 +79,7 @@ def with_promoted(resources: DataFrame) -> DataFrame:
         F.unix_micros(period_end(F.col("f.date"))).alias("date_hi"),
         F.col("f.questionnaire_id").alias("questionnaire_id"),
         F.array_distinct(system_names(F.col("json"))).alias("systems"),
+        numbers_kept(F.col("json")).alias("numbers_kept"),
     )
 
 
@@ -100,7 +102,8 @@ def write_lake(resources: DataFrame, path: str) -> None:
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = (
         "id string, json string, date string, date_lo long, date_hi long, "
-        "questionnaire_id string, systems array<string>, resource_type string"
+        "questionnaire_id string, systems array<string>, numbers_kept boolean, "
+        "resource_type string"
     )
     return spark.read.schema(schema).parquet(path)
 
