@@ -153,6 +153,14 @@ def dataset_stats(spark, d):
     return stats.dataset_stats(ob.long_observations(observed, patients), patients, coverage, YEAR)
 
 
+def dataset_stats_cohort(spark, d):
+    """Ages and dates of the patients with observations only."""
+    observed, patients = fx.observations(spark, d), fx.patients(spark, d)
+    coverage = stats.temporal_coverage(observed, "Observation")
+    rows = ob.long_observations(observed, patients)
+    return stats.dataset_stats(rows, patients, coverage, YEAR, cohort_only=True)
+
+
 def vocab_observation(spark, d):
     return vocab.code_vocabulary(obs_long(spark, d), "observation_codes")
 
@@ -231,6 +239,7 @@ QUERIES = {
     "age_stats": age_stats,
     "temporal_coverage": temporal_coverage,
     "dataset_stats": dataset_stats,
+    "dataset_stats_cohort": dataset_stats_cohort,
     "vocab_observation": vocab_observation,
     "coding_systems": coding_systems,
     "stats_from_states": stats_from_states,
@@ -321,6 +330,11 @@ ORACLES = {
           min_age, max_age, start_date, end_date
         FROM (SELECT {_AGES} FROM pat),
              (SELECT min(left(date, 10)) AS start_date, max(left(date, 10)) AS end_date FROM obs)""",
+    "dataset_stats_cohort": sql.with_(*sql.OBSERVED)
+    + f"""SELECT record_count, unique_patients, min_age, max_age, start_date, end_date
+        FROM (SELECT count(*) AS record_count, count(DISTINCT pid) + max((pid IS NULL)::INT) AS unique_patients,
+                min(left(date, 10)) AS start_date, max(left(date, 10)) AS end_date FROM obs_long),
+             (SELECT {_AGES} FROM pat WHERE pid IN (SELECT pid FROM obs_long))""",
     "vocab_observation": sql.with_(*sql.OBSERVED, sql.VOCAB_OBS) + "SELECT * FROM vocab_obs",
     "coding_systems": sql.with_(sql.PAT, sql.OBS)
     + f"""SELECT DISTINCT '{sql.BASE}' || s AS system FROM (

@@ -11,7 +11,7 @@ from clinflat.functions.iso import period_end, period_start
 from clinflat.operators.window import Window
 
 # Fixed value: how a coding system appears in the text of a resource.
-SYSTEM_PATTERN = '"system"\\s*:\\s*"([^"]+)"'
+SYSTEM_PATTERN = r'"system"\s*:\s*"((?:[^"\\]++|\\.)+)"'
 
 
 def from_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -32,9 +32,15 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def system_names(json: Column) -> Column:
-    """Every system named in the text of a resource, as an array, escaped slashes undone."""
+    """Every system named in the text of a resource, as an array, escapes undone."""
     found = F.regexp_extract_all(json, F.lit(SYSTEM_PATTERN), 1)
-    return F.transform(found, lambda s: F.replace(s, F.lit("\\/"), F.lit("/")))
+
+    def plain(name: Column) -> Column:
+        quoted = F.concat(F.lit('["'), name, F.lit('"]'))
+        unescaped = F.get(F.from_json(quoted, "array<string>"), F.lit(0))
+        return F.when(F.contains(name, F.lit("\\")), F.coalesce(unescaped, name)).otherwise(name)
+
+    return F.transform(found, plain)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
