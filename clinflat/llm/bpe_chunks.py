@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -147,7 +148,7 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
     def _each(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each piece. One of plain letters and signs behind them is put together
@@ -173,15 +174,16 @@ class Encoder:
             text = text.replace(c, SEPARATORS[0])
         parts = text.split(SEPARATORS[0])
         known = self.pieces
-        new = list({p for p in parts if p not in known})
-        if new:
+        found = list(map(known.get, parts))
+        if None in found:
+            new = list({p for p, ids in zip(parts, found) if ids is None})
             if len(known) + 3 * len(new) > PIECE_CACHE:
                 known = self.pieces = {p: known[p] for p in {""} | {p for p in parts if p in known}}
             got = self._each(new)
             out = b"".join([got[p] if p in got else known[p] for p in parts])
             known.update((p, i) for p, i in got.items() if len(p) <= LONG_PIECE)
             return out
-        return b"".join([known[p] for p in parts])
+        return b"".join(found)
 
     def chunk(self, text: str) -> bytes:
         """Ids of a chunk as it stands by itself."""
