@@ -18,6 +18,11 @@ def test_configured_folder_is_used():
     assert shared_dir(fake("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
 
 
+@pytest.mark.parametrize("folder", ["file:///mnt/shared", "/mnt/shared"])
+def test_mounted_folder_is_used_on_a_cluster(folder):
+    assert shared_dir(fake("spark://host:7077", folder)) == folder
+
+
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(fake("yarn"))
