@@ -147,6 +147,12 @@ def for_job(records: DataFrame, job: str) -> DataFrame:
 # --- workbook cells -------------------------------------------------------------------
 
 
+def _by_key(side: DataFrame) -> DataFrame:
+    """The side of a join that tasks hold by key. Cells are often unfolded from few bytes, so
+    the planner takes them for small and would send them whole through the driver."""
+    return side.hint("shuffle_hash")
+
+
 def resolve_sheets(cells: DataFrame, jobs: DataFrame) -> DataFrame:
     """Which sheet each job of a workbook uses: ``workbook, job, base, sheet, error``.
 
@@ -169,8 +175,8 @@ def resolve_sheets(cells: DataFrame, jobs: DataFrame) -> DataFrame:
     before, after = SHEET_MISSING
     message = F.concat(F.lit(before), names, F.lit(after))
     return (
-        wanted.join(own, ["workbook", "specific"], "left")
-        .join(base, ["workbook", "base"], "left")
+        wanted.join(_by_key(own), ["workbook", "specific"], "left")
+        .join(_by_key(base), ["workbook", "base"], "left")
         .withColumn("sheet", F.when(F.col("own"), F.col("specific")).when(F.col("shared"), F.col("base")))
         .withColumn("error", F.when(required & F.col("sheet").isNull(), message))
         .where(F.col("sheet").isNotNull() | F.col("error").isNotNull())
@@ -181,7 +187,7 @@ def resolve_sheets(cells: DataFrame, jobs: DataFrame) -> DataFrame:
 def job_cells(cells: DataFrame, resolved: DataFrame) -> DataFrame:
     """Cells as each job sees them: ``workbook, job, base, row_idx, col_idx, value``."""
     found = resolved.where(F.col("sheet").isNotNull()).drop("error")
-    return cells.join(found, ["workbook", "sheet"]).select(
+    return cells.join(_by_key(found), ["workbook", "sheet"]).select(
         "workbook", "job", "base", "row_idx", "col_idx", "value"
     )
 
@@ -322,7 +328,7 @@ def workbook_records(cells: DataFrame) -> DataFrame:
             (DISTRIBUTION_SHEET, DISTRIBUTION_ROWS, distribution_from_fields, "distribution"),
         )
     ]
-    return reduce(lambda a, b: a.join(b, keys), parts)
+    return reduce(lambda a, b: a.join(b.hint("merge"), keys), parts)
 
 
 def _messages(fields: DataFrame, *checks: Column) -> DataFrame:

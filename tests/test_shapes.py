@@ -62,3 +62,8 @@ def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, SF))
     for operator in ("PythonUDF", "ArrowEval", "BatchEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
         assert operator not in text
+
+
+@pytest.mark.parametrize("name", ["metadata_sheet_pivot", "metadata_violations", "workbook_records"])
+def test_large_sides_are_not_broadcast_by_a_wrong_estimate(spark, name):
+    assert "BroadcastExchange" not in plan(contract.queries()[name](spark, SF))
