@@ -67,3 +67,14 @@ def test_no_python_and_no_cross_join(spark, name):
 @pytest.mark.parametrize("name", ["metadata_sheet_pivot", "metadata_violations", "workbook_records"])
 def test_large_sides_are_not_broadcast_by_a_wrong_estimate(spark, name):
     assert "BroadcastExchange" not in plan(contract.queries()[name](spark, SF))
+
+
+def test_salted_survey_broadcasts_no_lookup(spark):
+    lines = plan(contract.queries()["survey_long_salted"](spark, SF)).split("\n")
+    assert not [x for x in lines if "BroadcastHashJoin" in x and "LeftOuter" in x]
+
+
+def test_large_lookup_is_not_broadcast(spark):
+    asked = survey.response_items(fx.responses(spark, SF))
+    definitions = survey.flat_definitions(fx.questionnaires(spark, SF))
+    assert "BroadcastExchange" not in plan(survey.join_texts(asked, definitions, limit=0))
