@@ -78,3 +78,8 @@ def test_large_lookup_is_not_broadcast(spark):
     asked = survey.response_items(fx.responses(spark, SF))
     definitions = survey.flat_definitions(fx.questionnaires(spark, SF))
     assert "BroadcastExchange" not in plan(survey.join_texts(asked, definitions, limit=0))
+
+
+def test_cohort_statistics_parse_the_observations_once(spark):
+    text = plan(contract.queries()["dataset_stats_cohort"](spark, SF))
+    assert "effectiveDateTime" not in text
