@@ -80,6 +80,12 @@ def test_large_lookup_is_not_broadcast(spark):
     assert "BroadcastExchange" not in plan(survey.join_texts(asked, definitions, limit=0))
 
 
+def test_a_window_parses_dates_once(spark):
+    found = resources.scan(fx.responses(spark, SF), "QuestionnaireResponse", Window("1997", "1998-03"))
+    text = found.select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "try_to_timestamp" in line for line in text.split("\n"))
+
+
 def test_cohort_statistics_parse_the_observations_once(spark):
     text = plan(contract.queries()["dataset_stats_cohort"](spark, SF))
     assert "effectiveDateTime" not in text
