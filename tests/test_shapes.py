@@ -1,6 +1,7 @@
 """Plan checks: what may shuffle, what runs outside the JVM, what is parsed twice."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks import fixtures as fx
@@ -80,6 +81,15 @@ def test_large_lookup_is_not_broadcast(spark):
     assert "BroadcastExchange" not in plan(survey.join_texts(asked, definitions, limit=0))
 
 
+def test_rows_of_one_row_group_are_spread(spark, tmp_path):
+    path = tmp_path / "events.parquet"
+    made = spark.range(0, 1_000_000, 1, 1).selectExpr("id AS event_id", "repeat(sha2(cast(id AS string), 256), 2) AS props")
+    made.write.option("parquet.block.size", 1 << 30).parquet(str(path))
+    events = fx.table(spark, str(tmp_path), "events")
+    sizes = [r["count"] for r in events.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) >= 8 and max(sizes) < 2 * fx.ROWS_A_TASK
+
+
 def test_a_window_parses_dates_once(spark):
     found = resources.scan(fx.responses(spark, SF), "QuestionnaireResponse", Window("1997", "1998-03"))
     text = found.select("id")._jdf.queryExecution().optimizedPlan().toString()
@@ -89,3 +99,9 @@ def test_a_window_parses_dates_once(spark):
 def test_cohort_statistics_parse_the_observations_once(spark):
     text = plan(contract.queries()["dataset_stats_cohort"](spark, SF))
     assert "effectiveDateTime" not in text
+
+
+def test_numbers_are_rewritten_only_where_needed(spark):
+    raw = spark.createDataFrame([], "resource_type string, id string, json string")
+    text = plan(survey.response_items(raw))
+    assert "RLIKE(json" in text
