@@ -36,7 +36,7 @@ LEAST_CHUNK, MOST_CHUNK = 256, 8192
 BLOCK = 1 << 20  # characters hashed at once
 REPAIR = 32  # characters on each side of a join that are encoded again at first
 SEPARATORS = " \n"  # the tokenizer splits here and drops them, whatever stands around
-PIECE_CACHE, CHUNK_CACHE = 300_000, 32 << 20  # pieces; characters of chunks
+PIECE_CACHE, CHUNK_CACHE = 900_000, 32 << 20  # pieces; characters of chunks
 LONG_PIECE = 64
 OUT_ROWS = 256
 MULTIPLIER = 0x9E3779B97F4A7C15

@@ -44,6 +44,14 @@ def test_whole_texts(spark, library, monkeypatch):
         assert encoder.repaired > 100  # cuts inside words do occur, and are repaired
 
 
+def test_pieces_of_a_large_vocabulary_are_kept(monkeypatch):
+    encoder = B.Encoder(open(vocabulary(), encoding="utf-8").read())
+    texts = [" ".join(f"w{k}x" for k in range(s, s + 10_000)) for s in range(0, 400_000, 10_000)]
+    first = [encoder.direct(text) for text in texts][0]
+    monkeypatch.setattr(encoder, "_plain", lambda new: pytest.fail(f"{len(new)} pieces encoded again"))
+    assert encoder.direct(texts[0]) == first
+
+
 def test_other_tokenizers(spark):
     """A tokenizer that keeps white space, for which pieces and joins would be wrong."""
     path = vocabulary("byte_bpe_50k.json")
