@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from clinflat.session import shared_dir, text_bytes
+from clinflat.session import shared_dir, stage, text_bytes
 
 
 def fake(master, configured=None):
@@ -36,3 +36,9 @@ def test_text_bytes_counts_every_row(spark):
     df = spark.createDataFrame([("ab", 1), (None, 22)], "a string, b int")
     assert text_bytes(df) == 2 * 16 + 2 + 1 + 2
     assert text_bytes(df.limit(0)) == 0
+
+
+def test_tables_are_staged_in_a_mounted_folder_of_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert sorted(r.id for r in stage(spark.range(5), "numbers").collect()) == [0, 1, 2, 3, 4]
