@@ -36,7 +36,7 @@ LEAST_CHUNK, MOST_CHUNK = 256, 8192
 BLOCK = 1 << 20  # characters hashed at once
 REPAIR = 32  # characters on each side of a join that are encoded again at first
 SEPARATORS = " \n"  # the tokenizer splits here and drops them, whatever stands around
-PIECE_CACHE, CHUNK_CACHE = 900_000, 32 << 20  # pieces; characters of chunks
+PIECE_CACHE, CHUNK_CACHE = 500_000, 8 << 20  # pieces; characters of chunks
 LONG_PIECE = 64
 OUT_ROWS = 256
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -142,7 +142,9 @@ class Encoder:
         lowers = any(n["type"] == "Lowercase" for n in steps(spec.get("normalizer"), "normalizers"))
         self.lowers = lowers and not any(t["content"].isalpha() for t in spec.get("added_tokens") or ())
         self.pieces: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.older_chunks: dict[str, bytes] = {}
         self.chunk_chars = 0
         self.reused = self.repaired = 0
 
@@ -160,28 +162,36 @@ class Encoder:
             plain = cut.groups() if cut else (p,)
             lowers = self.lowers and p.isascii()
             parts[p] = tuple(x.lower() if lowers and x.isalpha() else x for x in plain)
-        known = self.pieces
-        new = list({x for xs in parts.values() for x in xs if x not in known})
-        ids = dict(zip(new, self._plain(new))) if new else {}
+        known, older = self.pieces, self.older
+        met = {x for xs in parts.values() for x in xs if x not in known}
+        ids = {x: older[x] for x in met if x in older}
+        new = [x for x in met if x not in ids]
+        ids.update(zip(new, self._plain(new)) if new else ())
         for x, i in ids.items():
             if len(x) <= LONG_PIECE:
                 known[x] = i
         return {p: b"".join([ids[x] if x in ids else known[x] for x in xs]) for p, xs in parts.items()}
 
     def direct(self, text: str) -> bytes:
-        """Ids of a text by its pieces between separators, each encoded once."""
+        """Ids of a text by its pieces between separators, each encoded once.
+
+        Pieces are kept in two halves. When the newer one is full it takes the place of the
+        older, and what is met there again moves back: only pieces out of use are lost.
+        """
         for c in SEPARATORS[1:]:
             text = text.replace(c, SEPARATORS[0])
         parts = text.split(SEPARATORS[0])
         known = self.pieces
         found = list(map(known.get, parts))
         if None in found:
-            new = list({p for p, ids in zip(parts, found) if ids is None})
-            if len(known) + 3 * len(new) > PIECE_CACHE:
-                known = self.pieces = {p: known[p] for p in {""} | {p for p in parts if p in known}}
-            got = self._each(new)
+            older = self.older
+            missing = {p for p, ids in zip(parts, found) if ids is None}
+            got = {p: older[p] for p in missing if p in older}
+            got |= self._each([p for p in missing if p not in got])
             out = b"".join([got[p] if p in got else known[p] for p in parts])
             known.update((p, i) for p, i in got.items() if len(p) <= LONG_PIECE)
+            if len(known) > PIECE_CACHE // 2:
+                self.older, self.pieces = known, {"": b""}
             return out
         return b"".join(found)
 
@@ -191,9 +201,13 @@ class Encoder:
         if ids is not None:
             self.reused += 1
             return ids
-        ids = self.direct(text)
-        if self.chunk_chars + len(text) > CHUNK_CACHE:
-            self.chunks.clear()
+        ids = self.older_chunks.get(text)
+        if ids is None:
+            ids = self.direct(text)
+        else:
+            self.reused += 1
+        if self.chunk_chars + len(text) > CHUNK_CACHE // 2:
+            self.older_chunks, self.chunks = self.chunks, {}
             self.chunk_chars = 0
         self.chunks[text] = ids
         self.chunk_chars += len(text)

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import sys
 
 import numpy as np
 import pytest
@@ -52,6 +53,42 @@ def test_pieces_of_a_large_vocabulary_are_kept(monkeypatch):
     assert encoder.direct(texts[0]) == first
 
 
+def test_pieces_in_use_are_kept(monkeypatch):
+    monkeypatch.setattr(B, "PIECE_CACHE", 1000)
+    encoder = B.Encoder(open(vocabulary(), encoding="utf-8").read())
+    plain, seen = encoder._plain, []
+    monkeypatch.setattr(encoder, "_plain", lambda new: seen.extend(new) or plain(new))
+    common = [f"c{k}x" for k in range(50)]
+    for s in range(0, 6000, 150):
+        encoder.direct(" ".join([*common, *(f"w{k}x" for k in range(s, s + 50))]))
+        encoder.direct(" ".join(f"w{k}x" for k in range(s + 50, s + 150)))
+    assert len(seen) == len(set(seen))
+    assert len(encoder.pieces) + len(encoder.older) <= 1000 + 2 * 150
+
+
+def test_caches_of_a_worker_are_small(monkeypatch):
+    encoder = B.Encoder(open(vocabulary(), encoding="utf-8").read())
+    for s in range(0, 880_000, 20_000):
+        encoder.direct(" ".join(f"w{k}x" for k in range(s, s + 20_000)))
+    for s in range(0, 24_000):
+        encoder.chunk(f"{s} " + "the license of the work " * 40)
+    caches = [getattr(encoder, c, {}) for c in ("pieces", "older", "chunks", "older_chunks")]
+    held = sum(sys.getsizeof(c) + sum(sys.getsizeof(x) for kv in c.items() for x in kv) for c in caches)
+    assert held < 120e6
+
+
+def test_chunks_in_use_are_kept(monkeypatch):
+    monkeypatch.setattr(B, "CHUNK_CACHE", 20_000)
+    encoder = B.Encoder(open(vocabulary(), encoding="utf-8").read())
+    common = "the license of the work " * 40
+    first = encoder.chunk(common)
+    for s in range(200):
+        encoder.chunk(f"{s} " + common)
+        if s % 5 == 0:
+            assert encoder.chunk(common) == first
+    assert encoder.reused == 40
+
+
 def test_other_tokenizers(spark):
     """A tokenizer that keeps white space, for which pieces and joins would be wrong."""
     path = vocabulary("byte_bpe_50k.json")
