@@ -20,6 +20,7 @@ TABLES = {
 }
 STAGING = (
     "column_vocab_links",
+    "dict_csv_scan",
 )
 
 
