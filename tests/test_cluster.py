@@ -21,6 +21,7 @@ TABLES = {
 STAGING = (
     "column_vocab_links",
     "dict_csv_scan",
+    "entries_roundtrip",
 )
 
 
