@@ -22,6 +22,7 @@ STAGING = (
     "column_vocab_links",
     "dict_csv_scan",
     "entries_roundtrip",
+    "full_long",
 )
 
 
