@@ -23,6 +23,7 @@ STAGING = (
     "dict_csv_scan",
     "entries_roundtrip",
     "full_long",
+    "graph_delta",
 )
 
 
