@@ -24,6 +24,7 @@ STAGING = (
     "entries_roundtrip",
     "full_long",
     "graph_delta",
+    "graph_republished",
 )
 
 
