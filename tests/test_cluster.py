@@ -25,6 +25,7 @@ STAGING = (
     "full_long",
     "graph_delta",
     "graph_republished",
+    "sink_csv_roundtrip",
 )
 
 
