@@ -26,6 +26,7 @@ STAGING = (
     "graph_delta",
     "graph_republished",
     "sink_csv_roundtrip",
+    "sink_parquet_roundtrip",
 )
 
 
