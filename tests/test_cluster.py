@@ -27,6 +27,7 @@ STAGING = (
     "graph_republished",
     "sink_csv_roundtrip",
     "sink_parquet_roundtrip",
+    "skos_triples",
 )
 
 
