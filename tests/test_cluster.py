@@ -28,6 +28,7 @@ STAGING = (
     "sink_csv_roundtrip",
     "sink_parquet_roundtrip",
     "skos_triples",
+    "stats_from_states",
 )
 
 
