@@ -29,6 +29,7 @@ STAGING = (
     "sink_parquet_roundtrip",
     "skos_triples",
     "stats_from_states",
+    "survey_long",
 )
 
 
