@@ -30,6 +30,7 @@ STAGING = (
     "skos_triples",
     "stats_from_states",
     "survey_long",
+    "survey_stats",
 )
 
 
