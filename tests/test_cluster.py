@@ -31,6 +31,7 @@ STAGING = (
     "stats_from_states",
     "survey_long",
     "survey_stats",
+    "systems_from_states",
 )
 
 
