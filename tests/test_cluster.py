@@ -32,6 +32,7 @@ STAGING = (
     "survey_long",
     "survey_stats",
     "systems_from_states",
+    "temporal_coverage_full",
 )
 
 
