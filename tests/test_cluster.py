@@ -33,6 +33,7 @@ STAGING = (
     "survey_stats",
     "systems_from_states",
     "temporal_coverage_full",
+    "vocab_from_states",
 )
 
 
