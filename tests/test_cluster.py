@@ -34,6 +34,7 @@ STAGING = (
     "systems_from_states",
     "temporal_coverage_full",
     "vocab_from_states",
+    "vocab_merged",
 )
 
 
