@@ -35,6 +35,7 @@ STAGING = (
     "temporal_coverage_full",
     "vocab_from_states",
     "vocab_merged",
+    "vocab_question",
 )
 
 
