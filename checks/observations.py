@@ -206,7 +206,7 @@ def systems_from_states(spark, d):
 def arrival_steps(spark, d):
     """All resources as files of lines, taken into the lake by a stream in several batches."""
     source, lake, checkpoint = (table_path(spark, x) for x in ("lines", "lake", "checkpoint"))
-    fx.resources(spark, d).select("json").write.text(source)
+    fx.resources(spark, d).select("json").write.option("compression", "gzip").text(source)
     stream = arrival.arriving(spark, source, files_a_batch=16)
     arrival.write_arrivals(stream, lake, checkpoint).awaitTermination()
     return arrival.read_arrivals(spark, lake).select("resource_type", "id", "date")

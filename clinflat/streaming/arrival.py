@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflat.operators.states import resource_states, write_states
+from clinflat.session import shuffles_dropped
 from clinflat.sources.resources import from_json_lines, read_lake, with_promoted, write_lake
 
 
@@ -29,7 +30,8 @@ def add_batch(lake: str, states: str | None = None) -> Callable[[DataFrame, int]
 
     def add(batch: DataFrame, number: int) -> None:
         folder = f"{lake}/batch={number}"
-        write_lake(batch, folder)
+        with shuffles_dropped(batch.sparkSession):  # a stream has many batches
+            write_lake(batch, folder)
         if states is not None:
             stored = read_lake(batch.sparkSession, folder)
             write_states(resource_states(stored, F.lit(f"batch-{number}")), states)

@@ -415,3 +415,9 @@ def test_lake_prunes(spark, tmp_path):
     assert got.count() == 9
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(date_hi" in plan and "resource_type" in plan.split("PartitionFilters")[1]
+
+
+def test_the_lake_is_stored_compactly(spark, tmp_path):
+    resources.write_lake(frame(spark, patient("a")), str(tmp_path))
+    files = [p.name for p in tmp_path.rglob("*.parquet")]
+    assert files and all(".zstd." in name for name in files)

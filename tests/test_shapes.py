@@ -7,6 +7,7 @@ import __spark_entry__ as contract
 from checks import fixtures as fx
 from clinflat.operators import observation, stats, survey
 from clinflat.operators.window import Window
+from clinflat.session import stage
 from clinflat.sources import resources
 from test_resources import rows
 
@@ -105,3 +106,25 @@ def test_numbers_are_rewritten_only_where_needed(spark):
     raw = spark.createDataFrame([], "resource_type string, id string, json string")
     text = plan(survey.response_items(raw))
     assert "RLIKE(json" in text
+
+
+def test_rows_of_many_row_groups_are_not_shuffled(spark, tmp_path):
+    path = tmp_path / "events.parquet"
+    made = spark.range(0, 1_600_000, 1, 16).selectExpr("id AS event_id", "repeat(sha2(cast(id AS string), 256), 2) AS props")
+    made.write.parquet(str(path))
+    events = fx.table(spark, str(tmp_path), "events")
+    assert "Exchange" not in plan(events) and events.count() == 1_600_000
+
+
+def test_intermediate_tables_leave_no_shuffle_files(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {b for b in manager.getAllBlocks().mkString(" ").split(" ") if b.startswith("shuffle_")}
+
+    held = shuffled()
+    made = stage(spark.range(100_000).groupBy(F.col("id") % 1000).count().toDF("k", "n"), "made")
+    assert not shuffled() - held and spark.conf.get(setting) == before
+    assert made.count() == 1000
