@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from checks import fixtures as fx
 from clinflat.operators import observation, stats, survey
+from clinflat.operators.joins import left_lookup
 from clinflat.operators.window import Window
 from clinflat.session import stage
 from clinflat.sources import resources
@@ -128,3 +129,33 @@ def test_intermediate_tables_leave_no_shuffle_files(spark):
     made = stage(spark.range(100_000).groupBy(F.col("id") % 1000).count().toDF("k", "n"), "made")
     assert not shuffled() - held and spark.conf.get(setting) == before
     assert made.count() == 1000
+
+
+def test_salted_survey_joins_twice_and_sorts_no_answers(spark):
+    text = plan(contract.queries()["survey_long_salted"](spark, SF))
+    final = text[text.rfind("Initial Plan") :] if "Initial Plan" in text else text
+    assert "SortMergeJoin" not in [x.strip(" +-:*").split(" ")[0] for x in final.split("\n") if "LeftOuter" in x]
+    assert sum("LeftOuter" in x for x in final.split("\n")) == 2
+
+
+def test_rows_without_a_code_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "r")
+    fx.responses(spark, SF).write.parquet(path)
+    definitions = stage(survey.flat_definitions(fx.questionnaires(spark, SF)), "definitions")
+    asked = survey.response_items(spark.read.parquet(path))
+    joined = survey.join_options(asked, definitions, limit=0)
+    text = plan(joined)
+    assert text.count("ShuffledHashJoin") == 1 and "Union" in text
+    small = survey.join_options(asked, definitions)
+    assert rows(joined.select(sorted(joined.columns))) == rows(small.select(sorted(joined.columns)))
+    texts = [survey.join_texts(asked, definitions, limit) for limit in (0, 1 << 25)]
+    assert rows(texts[0].select(sorted(texts[0].columns))) == rows(texts[1].select(sorted(texts[0].columns)))
+
+
+def test_a_lookup_too_large_for_memory_is_sorted(spark, monkeypatch):
+    monkeypatch.setattr("clinflat.operators.joins.HASHED_BYTES", 0)
+    facts = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, n int")
+    lookup = spark.createDataFrame([("a", "A")], "k string, t string")
+    found = left_lookup(facts, lookup, ["k"], limit=0)
+    assert "SortMergeJoin" in plan(found)
+    assert sorted(map(tuple, found.select("n", "t").collect())) == [(1, "A"), (2, None), (3, None)]
