@@ -8,6 +8,7 @@ from test_shapes import SF, plan
 # Left joins of each query: by questionnaire, and by patient where the patient counts.
 LEFT_JOINS = {
     "column_vocab_links": 1,
+    "survey_stats": 2,
 }
 
 
