@@ -9,6 +9,7 @@ from test_shapes import SF, plan
 LEFT_JOINS = {
     "column_vocab_links": 1,
     "survey_stats": 2,
+    "qr_answer": 1,
 }
 
 
