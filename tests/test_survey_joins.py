@@ -10,6 +10,7 @@ LEFT_JOINS = {
     "column_vocab_links": 1,
     "survey_stats": 2,
     "qr_answer": 1,
+    "qr_text_join": 1,
 }
 
 
