@@ -11,6 +11,7 @@ LEFT_JOINS = {
     "survey_stats": 2,
     "qr_answer": 1,
     "qr_text_join": 1,
+    "vocab_merged": 1,
 }
 
 
