@@ -12,6 +12,7 @@ LEFT_JOINS = {
     "qr_answer": 1,
     "qr_text_join": 1,
     "vocab_merged": 1,
+    "survey_long": 2,
 }
 
 
