@@ -13,6 +13,7 @@ LEFT_JOINS = {
     "qr_text_join": 1,
     "vocab_merged": 1,
     "survey_long": 2,
+    "full_long": 3,
 }
 
 
