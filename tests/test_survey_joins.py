@@ -14,6 +14,7 @@ LEFT_JOINS = {
     "vocab_merged": 1,
     "survey_long": 2,
     "full_long": 3,
+    "temporal_coverage_full": 3,
 }
 
 
