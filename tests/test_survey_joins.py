@@ -15,6 +15,7 @@ LEFT_JOINS = {
     "survey_long": 2,
     "full_long": 3,
     "temporal_coverage_full": 3,
+    "vocab_question": 1,
 }
 
 
