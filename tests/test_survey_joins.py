@@ -16,6 +16,7 @@ LEFT_JOINS = {
     "full_long": 3,
     "temporal_coverage_full": 3,
     "vocab_question": 1,
+    "skos_triples": 1,
 }
 
 
