@@ -17,6 +17,7 @@ LEFT_JOINS = {
     "temporal_coverage_full": 3,
     "vocab_question": 1,
     "skos_triples": 1,
+    "qr_option_join": 1,
 }
 
 
